@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .html_text import extract
 from .line_quality import line_quality
+from .mixing import mix
 from .shared import table
 from .token_count import count_tokens
+from .warc import round_trip
 
 
 def tokenizer(name: str) -> str:
@@ -16,6 +19,18 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "times")
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -24,5 +39,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(table(spark, sf_dir, "documents")).drop("body_hash")
 
 
-QUERIES = {"op5_token_counts": op5_token_counts, "op10_quality_rules": op10_quality_rules}
+QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
+    "op2_html_text": op2_html_text,
+    "op3_warc": op3_warc,
+    "op5_token_counts": op5_token_counts,
+    "op10_quality_rules": op10_quality_rules,
+}
 ORACLES: dict[str, str] = {}
