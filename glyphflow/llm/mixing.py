@@ -10,6 +10,7 @@ level, until one group is left for each source, whose last two are landed neares
 from __future__ import annotations
 
 import random
+from bisect import bisect
 from itertools import product
 
 import pandas as pd
@@ -76,17 +77,25 @@ def flight(sizes: list[float], p: list[float], rng: random.Random) -> list[int]:
 
 
 def landing(sizes: list[float], p: list[float], left: list[int]) -> None:
-    """Decides the last places so that words come nearest to what p stands for, then documents."""
+    """Decides the last places so that words come nearest to what p stands for, then documents; then exchanges one taken
+    document for one that isn't, if that comes nearer yet."""
     words, docs = sum(sizes[k] * p[k] for k in left), sum(p[k] for k in left)
     best = min(product((0.0, 1.0), repeat=len(left)), key=lambda x: (abs(sum(sizes[k] * v for k, v in zip(left, x, strict=True)) - words), abs(sum(x) - docs), x))
     for k, v in zip(left, best, strict=True):
         p[k] = v
+    lack = words - sum(sizes[k] * p[k] for k in left)
+    outside = sorted((sizes[k], k) for k in range(len(p)) if p[k] == 0.0)
+    found = (abs(lack), -1, -1)
+    for i in (k for k in range(len(p)) if p[k] == 1.0):
+        at = bisect(outside, (sizes[i] + lack, -1))
+        found = min([found, *((abs(lack + sizes[i] - n), i, j) for n, j in outside[max(0, at - 1) : at + 1])])
+    if found[1] >= 0:
+        p[found[1]], p[found[2]] = 0.0, 1.0
 
 
 def decided(frame: pd.DataFrame) -> pd.DataFrame:
-    """One group's flight, with the landing if it is its source's only group. Longest first, so that what is left to land is
-    short, then by hash, so that reruns agree."""
-    frame = frame.sort_values(["size", "_order"], ascending=[False, True], kind="stable", ignore_index=True)
+    """One group's flight, with the landing if it is its source's only group. Ordered by hash, so that reruns agree."""
+    frame = frame.sort_values(["_order", "size"], kind="stable", ignore_index=True)
     sizes, p = frame["size"].astype(float).tolist(), frame["p"].tolist()
     first = frame.iloc[0]
     left = flight(sizes, p, random.Random(f"{SEED}/{first['source']}/{first['_group']}/{first['_level']}"))
