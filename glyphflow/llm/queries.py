@@ -10,6 +10,7 @@ from .line_quality import line_quality
 from .mixing import mix
 from .shared import table
 from .token_count import count_tokens
+from .token_store import store_round_trip
 from .warc import round_trip
 
 
@@ -35,6 +36,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(table(spark, sf_dir, "documents")).drop("body_hash")
 
@@ -44,6 +49,7 @@ QUERIES = {
     "op2_html_text": op2_html_text,
     "op3_warc": op3_warc,
     "op5_token_counts": op5_token_counts,
+    "op7_token_store": op7_token_store,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
