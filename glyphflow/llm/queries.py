@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .html_text import extract
 from .line_quality import line_quality
+from .minhash import near_duplicates
 from .mixing import mix
 from .shared import table
 from .token_count import count_tokens
@@ -40,6 +41,11 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), k=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(table(spark, sf_dir, "documents")).drop("body_hash")
 
@@ -50,6 +56,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op5_token_counts": op5_token_counts,
     "op7_token_store": op7_token_store,
+    "op8_near_duplicates": op8_near_duplicates,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
