@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contamination
 from .html_text import extract
 from .line_quality import line_quality
 from .minhash import near_duplicates
@@ -33,6 +34,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("body_hash")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_html_text": op2_html_text,
     "op3_warc": op3_warc,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
     "op7_token_store": op7_token_store,
     "op8_near_duplicates": op8_near_duplicates,
