@@ -11,6 +11,7 @@ from .line_quality import line_quality
 from .minhash import near_duplicates
 from .mixing import mix
 from .shared import table
+from .substring import cut_repeats
 from .token_count import count_tokens
 from .token_store import store_round_trip
 from .warc import round_trip
@@ -51,6 +52,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(table(spark, sf_dir, "documents")).drop("body_hash")
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op7_token_store": op7_token_store,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_repeats": op9_repeats,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
