@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontaminate import contamination
 from .html_text import extract
 from .line_quality import line_quality
+from .line_runs import line_runs
 from .minhash import near_duplicates
 from .mixing import mix
 from .shared import table
@@ -43,6 +44,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -66,6 +72,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
+    "op6_line_runs": op6_line_runs,
     "op7_token_store": op7_token_store,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeats": op9_repeats,
