@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from glyphflow.plans import catalog_queries, kernel_queries
+
+PARTS = (kernel_queries, catalog_queries)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: query for part in PARTS for name, query in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in PARTS for name, sql in part.ORACLES.items()}
