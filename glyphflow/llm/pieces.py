@@ -1,13 +1,14 @@
 """Tokenizing through a memo of white-space-free pieces, exactly as the tokenizers library does on the whole text.
 
 A text is cut only where no token can cross and where what follows is encoded alike whatever stands before, so that a
-piece's tokens can be remembered. The memo is emptied when it is full; that costs time, never results.
+piece's tokens can be remembered. A piece of Latin letters alone is one pre-token, which goes to the library's model
+directly. The memo has two generations; what neither holds is encoded again, which costs time, never results.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
+import struct
 
 from tokenizers import Tokenizer
 
@@ -15,8 +16,10 @@ from tokenizers import Tokenizer
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: One space between characters that no definition of white space has.
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-RAGGED = re.compile(r"\s\s|^\s|\s$|[\x1c-\x1f]")
-ENTRIES = 600_000
+TWO_SPACES = re.compile(r"\s\s")
+#: Letters to every version of Unicode that are composed already and whose lower case is one of them.
+LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+ENTRIES = 500_000
 
 
 def load(path: str) -> Tokenizer:
@@ -26,6 +29,24 @@ def load(path: str) -> Tokenizer:
     return tokenizer
 
 
+def byte_letters() -> dict[int, str]:
+    """The character that byte-level tokenizers use for each byte: itself if it prints, else the next from 256 on."""
+    out, following = {}, 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            out[b] = chr(b)
+        else:
+            out[b], following = chr(following), following + 1
+    return out
+
+
+LETTERS = byte_letters()
+
+
+def spelled(text: str) -> str:
+    return text if text.isascii() and " " not in text else "".join(map(LETTERS.__getitem__, text.encode()))
+
+
 def stem_of(piece: str) -> int:
     """Where a last full stop or comma after a letter can be cut off, else 0.
 
@@ -34,20 +55,34 @@ def stem_of(piece: str) -> int:
     return len(piece) - 1 if len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha() else 0
 
 
-class Counts(dict):
-    """Number of tokens by piece, for a tokenizer that drops white space."""
+class Memo(dict):
+    """What a piece is encoded to, in two generations."""
 
     def __init__(self, tokenizer: Tokenizer, entries: int = ENTRIES):
         super().__init__()
-        self.tokenizer, self.entries = tokenizer, entries
+        self.tokenizer, self.model, self.entries, self.old = tokenizer, tokenizer.model, entries, {}
 
-    def __missing__(self, piece: str) -> int:
-        cut = stem_of(piece)
-        n = self[piece[:cut]] + self[piece[cut:]] if cut else len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+    def __missing__(self, piece: str):
+        found = self.old.get(piece)
+        if found is None:
+            found = self.encoded(piece)
         if len(self) >= self.entries:
+            self.old = dict(self)
             self.clear()
-        self[piece] = n
-        return n
+        self[piece] = found
+        return found
+
+
+class Counts(Memo):
+    """Number of tokens by piece, for a tokenizer that puts text in lower case and drops white space."""
+
+    def encoded(self, piece: str) -> int:
+        if cut := stem_of(piece):
+            return self[piece[:cut]] + self[piece[cut:]]
+        if LATIN.fullmatch(piece):
+            low = piece.lower()
+            return self[low] if low != piece else len(self.model.tokenize(spelled(low)))
+        return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def of(self, text: str) -> int:
         if ODD_SPACE.search(text):
@@ -55,34 +90,33 @@ class Counts(dict):
         return sum(map(self.__getitem__, text.split()))
 
 
-class Ids(dict):
-    """Token ids by piece, for a byte-level tokenizer whose tokens may begin with one space."""
+class Ids(Memo):
+    """Token ids (little-endian, 32 bits each) by piece, for a byte-level tokenizer; by the piece after a space, or bare."""
 
-    def __init__(self, tokenizer: Tokenizer, entries: int = ENTRIES):
-        super().__init__()
-        self.tokenizer, self.entries = tokenizer, entries
-
-    def __missing__(self, piece: str) -> array:
-        cut = stem_of(piece)
-        if cut:
-            ids = self[piece[:cut]] + self[piece[cut:]]
-        elif (at := piece.find("\n", 1)) > 0 and not piece[at - 1].isspace() and not piece[at + 1 : at + 2].isspace() and at + 1 < len(piece):
-            ids = self[piece[:at]] + self[piece[at:]]
+    def __init__(self, tokenizer: Tokenizer, entries: int = ENTRIES, space: str = " "):
+        super().__init__(tokenizer, entries)
+        self.space = space
+        self.bare = Ids(tokenizer, entries // 2, "") if space else self
+
+    def encoded(self, piece: str) -> bytes:
+        if cut := stem_of(piece):
+            return self[piece[:cut]] + self.bare[piece[cut:]]
+        if LATIN.fullmatch(piece):
+            ids = [t.id for t in self.model.tokenize(spelled(self.space + piece))]
+        elif (at := piece.find("\n", 1)) > 0 and at + 1 < len(piece) and not piece[at - 1].isspace() and not piece[at + 1].isspace():
+            # one line feed between others is a pre-token by itself
+            return self[piece[:at]] + self.bare["\n"] + self.bare[piece[at + 1 :]]
         else:
-            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(self) >= self.entries:
-            self.clear()
-        self[piece] = ids
-        return ids
+            ids = self.tokenizer.encode(self.space + piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def of(self, text: str) -> array:
+    def of(self, text: str) -> bytes:
         if not text:
-            return array("I")
-        if RAGGED.search(text):
-            parts = LONE_SPACE.split(text) if not ODD_SPACE.search(text) else [text]
+            return b""
+        if ODD_SPACE.search(text):
+            parts = [text]
+        elif text[0].isspace() or text[-1].isspace() or TWO_SPACES.search(text):
+            parts = LONE_SPACE.split(text)
         else:
             parts = text.split(" ")
-        out = array("I", self[parts[0]])
-        for p in parts[1:]:  # all pieces but the first have their space
-            out += self[" " + p]
-        return out
+        return self.bare[parts[0]] + b"".join(map(self.__getitem__, parts[1:]))

@@ -33,7 +33,8 @@ from .files import reader, writer
 from .pieces import Ids, load
 from .shared import new_folder, written
 
-END_ID = 0
+#: The end id, 0.
+END = bytes(4)
 WINDOW = 16
 #: A cut after one id in so many, and chunks of so many ids at least and at most.
 MEAN, LEAST, MOST = 1024, 256, 8192
@@ -98,9 +99,7 @@ def encoded(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFram
         for batch in batches:
             rows, held = [], 0
             for key, body, words in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = ids_of.of(words or "")
-                ids.append(END_ID)
-                ids = np.frombuffer(ids, dtype=np.uint32)
+                ids = np.frombuffer(ids_of.of(words or "") + END, dtype="<u4")
                 ends = cuts(ids)
                 data = ids.astype(width).tobytes()
                 k = int(width[-1])
