@@ -130,22 +130,23 @@ def compared(rows: DataFrame) -> DataFrame:
 
 
 def rest_links(rows: DataFrame, percent: int) -> DataFrame:
-    """u, v of links between the unlinked members of a block and their group's members.
+    """u, v of links that tie the unlinked members of a block to each other and to their group: a spanning set of them.
 
-    rows: hub, block, role (0: of the block, 1: of the group), id, j (similarity to the hub), items, sig; ordered so that a
-    block's members come first. They are held; the group streams past.
+    rows: hub, block, role (0: of the block, 1: of the group), id, j (similarity to the hub), link (to the hub), items, sig;
+    ordered so that a block's members come first. They are held; the group streams past. What is tied already is not
+    compared again, so no component loses a link that it needs.
     """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
     far = 1 - percent / 100 + 1e-9
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, ready, joined = None, [], None, set()
+        key, held, ready, label = None, [], None, None
         for batch in batches:
             out = []
-            cols = [batch.column(i) for i in range(7)]
-            for h, blk, role, i, j, items, sig in zip(*(c.to_pylist() for c in cols[:5]), cols[5], cols[6], strict=True):
+            cols = [batch.column(i) for i in range(8)]
+            for h, blk, role, i, j, link, items, sig in zip(*(c.to_pylist() for c in cols[:6]), cols[6], cols[7], strict=True):
                 if (h, blk) != key:
-                    key, held, ready, joined = (h, blk), [], None, set()
+                    key, held, ready = (h, blk), [], None
                 own, mark = np.frombuffer(items.as_buffer(), dtype=np.uint64), np.frombuffer(sig.as_buffer(), dtype=np.uint8)
                 if role == 0:
                     held.append((i, j, own.copy(), mark.copy()))
@@ -154,15 +155,25 @@ def rest_links(rows: DataFrame, percent: int) -> DataFrame:
                     continue
                 if ready is None:
                     ready = np.array([x[0] for x in held]), np.array([x[1] for x in held]), np.array([len(x[2]) for x in held]), np.stack([x[3] for x in held])
+                    label = np.arange(len(held))  # components in the block; -1 is the hub's
                 ids, js, sizes, marks = ready
                 n = len(own)
+                at = np.flatnonzero(ids == i)
+                tied = -1 if link else int(label[at[0]]) if len(at) else None
                 may = (np.abs(js - j) <= far) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)) & (ids != i)
+                if tied is not None:
+                    may &= label != tied
                 for at in np.flatnonzero(may)[(marks[may] == mark).mean(axis=1) >= SURELY].tolist():
+                    if label[at] == tied:
+                        continue
                     if linked(shared(own, held[at][2]) if n <= sizes[at] else shared(held[at][2], own), n, int(sizes[at]), percent):
-                        pair = (min(i, held[at][0]), max(i, held[at][0]))
-                        if pair not in joined:
-                            joined.add(pair)
-                            out.append(pair)
+                        out.append((i, held[at][0]))
+                        other = int(label[at])
+                        if tied is None:
+                            tied = other
+                        else:
+                            label[label == max(other, tied)] = min(other, tied)
+                            tied = min(other, tied)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], schema=schema)
 
@@ -186,7 +197,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     groups = written(entries.join(hubs, F.col("band") == F.col("b")).where("rep <> hub").select("hub", F.col("rep").alias("member")).distinct(), "near-groups")
     sizes = groups.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     members = groups.select(F.col("member").alias("id")).unionByName(groups.select(F.col("hub").alias("id"))).distinct()
-    wanted = docs.join(members, F.col(doc_id).cast("long") == members["id"], "left_semi")
+    # the members grow with the corpus: never broadcast, at any size
+    wanted = docs.join(members.hint("merge"), F.col(doc_id).cast("long") == members["id"], "left_semi")
     sets = written(full_sets(wanted, doc_id, text, k), "near-sets")
     dealt = groups.join(sizes, "hub").select("hub", "member", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("salt"))
     dealt = dealt.unionByName(sizes.select("hub", F.col("hub").alias("member"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")))
@@ -200,9 +212,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     blocks = alone.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("j").alias("low"), F.max("j").alias("high"), F.count(F.lit(1)).alias("unlinked"))
     far = 1 - percent / 100 + 1e-9
     near = j.join(blocks, "hub").where(F.col("j").between(F.col("low") - far, F.col("high") + far))
-    sides = near.where(~F.col("link")).select("hub", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "m", "j")
-    sides = sides.unionByName(near.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "m", "j"))
-    rows = sides.join(sets, sides["m"] == sets["id"]).select("hub", "block", "role", "m", "j", "items", "sig")
+    sides = near.where(~F.col("link")).select("hub", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "m", "j", "link")
+    sides = sides.unionByName(near.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "m", "j", "link"))
+    rows = sides.join(sets, sides["m"] == sets["id"]).select("hub", "block", "role", "m", "j", "link", "items", "sig")
     rows = rows.repartition("hub", "block").sortWithinPartitions("hub", "block", "role", "m")
     links = star.where("link").select(F.col("hub").alias("u"), F.col("member").alias("v")).unionByName(rest_links(rows, percent))
     labels = written(components(links), "near-labels")
