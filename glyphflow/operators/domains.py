@@ -14,7 +14,8 @@ def exhaustive(spark: SparkSession, alphabet: str, least: int, most: int, leadin
 
     def of(n: int) -> DataFrame:
         digits = [F.substr(F.lit(alphabet), (F.floor(F.col("id") / F.lit(k**j)) % k + 1).cast("int"), F.lit(1)) for j in reversed(range(n))]
-        return spark.range(k**n).select(F.concat(*digits).alias("value") if digits else F.lit("").alias("value"))
+        rows = spark.range(0, k**n, 1, 1) if k**n < 100_000 else spark.range(k**n)  # small domains: one task, not all cores
+        return rows.select(F.concat(*digits).alias("value") if digits else F.lit("").alias("value"))
 
     out = reduce(DataFrame.unionByName, (of(n) for n in range(least, most + 1)))
     return out if leading_zero else out.where("not (length(value) > 1 and startswith(value, '0'))")

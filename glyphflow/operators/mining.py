@@ -37,7 +37,8 @@ def mine(spark: SparkSession, seed: int, limit: int, alphabets: tuple[str, ...]
     """
     found = None
     for number, alphabet in enumerate(alphabets):
-        ran = outcomes(candidates(spark, alphabet, seed), exhaustive(spark, alphabet, 0, 3), 100, most_length)
+        values = exhaustive(spark, alphabet, 0, 3).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        ran = outcomes(candidates(spark, alphabet, seed), values, 100, most_length)
         ran = ran.withColumn("again", F.when(F.col("terminating"), rewrite(F.col("program"), F.coalesce("output", F.lit("")), 200, 32)["output"])).cache()  # a bounded search: a few thousand programs on a few dozen strings
         fit = ran.groupBy("seq", "program").agg(
             F.bool_and("terminating").alias("ends"), F.bool_and(F.col("output").eqNullSafe(F.col("value"))).alias("same"), F.count_distinct("output").alias("outputs"), ordered_probes().alias("probes")
