@@ -24,6 +24,7 @@ MOST_TIMES = 3
 GROUP = 4096
 SEED = 20
 EPS = 1e-9
+EXCHANGES = 4
 
 
 def targets(totals: list[tuple[str | None, int]], weights: tuple[float, ...] = WEIGHTS, most: float = MOST_TIMES) -> dict[str | None, float]:
@@ -77,20 +78,26 @@ def flight(sizes: list[float], p: list[float], rng: random.Random) -> list[int]:
 
 
 def landing(sizes: list[float], p: list[float], left: list[int]) -> None:
-    """Decides the last places so that words come nearest to what p stands for, then documents; then exchanges one taken
-    document for one that isn't, if that comes nearer yet."""
+    """Decides the last places so that words come nearest to what p stands for, then documents; then exchanges a taken
+    document, or none, for one that isn't, or none, while that comes nearer yet, EXCHANGES times at most."""
     words, docs = sum(sizes[k] * p[k] for k in left), sum(p[k] for k in left)
     best = min(product((0.0, 1.0), repeat=len(left)), key=lambda x: (abs(sum(sizes[k] * v for k, v in zip(left, x, strict=True)) - words), abs(sum(x) - docs), x))
     for k, v in zip(left, best, strict=True):
         p[k] = v
     lack = words - sum(sizes[k] * p[k] for k in left)
-    outside = sorted((sizes[k], k) for k in range(len(p)) if p[k] == 0.0)
-    found = (abs(lack), -1, -1)
-    for i in (k for k in range(len(p)) if p[k] == 1.0):
-        at = bisect(outside, (sizes[i] + lack, -1))
-        found = min([found, *((abs(lack + sizes[i] - n), i, j) for n, j in outside[max(0, at - 1) : at + 1])])
-    if found[1] >= 0:
-        p[found[1]], p[found[2]] = 0.0, 1.0
+    for _ in range(EXCHANGES):
+        outside = sorted([(0.0, -1), *((sizes[k], k) for k in range(len(p)) if p[k] == 0.0)])
+        found = (abs(lack), -1, -1)
+        for n, i in [(0.0, -1), *((sizes[k], k) for k in range(len(p)) if p[k] == 1.0)]:
+            at = bisect(outside, (n + lack, -1))
+            found = min([found, *((abs(lack + n - m), i, j) for m, j in outside[max(0, at - 1) : at + 1])])
+        _, i, j = found
+        if i == j:  # nothing for nothing
+            return
+        if i >= 0:
+            lack, p[i] = lack + sizes[i], 0.0
+        if j >= 0:
+            lack, p[j] = lack - sizes[j], 1.0
 
 
 def decided(frame: pd.DataFrame) -> pd.DataFrame:
