@@ -11,6 +11,7 @@ from .line_quality import line_quality
 from .line_runs import line_runs
 from .minhash import near_duplicates
 from .mixing import mix
+from .oracles import ORACLES  # noqa: F401
 from .shared import table
 from .substring import cut_repeats
 from .token_count import count_tokens
@@ -78,4 +79,3 @@ QUERIES = {
     "op9_repeats": op9_repeats,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
