@@ -23,7 +23,8 @@ class Function:
 
 
 def _n(c: str) -> str:
-    return f"regexp_count(v,'{c}')"
+    """How often a character occurs, without a regular expression."""
+    return f"(length(v)-length(replace(v,'{c}','')))"
 
 
 MOST = f"greatest({_n('a')},{_n('b')},{_n('c')})"
@@ -57,14 +58,14 @@ TASKS = (
     ("2-5", "abc", "true", f"if(forall({COUNTS},n->n%2=1 or n=0),'true','false')"),
     ("2-6", "abc", "true", "if(size(filter(regexp_extract_all(v,'(.)\\\\1*',0),r->length(r)=1))=1,'true','false')"),
     ("2-7", "abc", "true", f"if({_n('a')}<{_n('b')} and {_n('b')}<{_n('c')},'true','false')"),
-    ("2-8", "abc", UNIQUE_MOST, f"filter(array('a','b','c'),c->regexp_count(v,c)={MOST})[0]"),
-    ("2-9", "abc", f"length(v)>=2 and {UNIQUE_LEAST}", f"filter(array('a','b','c'),c->regexp_count(v,c)={LEAST})[0]"),
+    ("2-8", "abc", UNIQUE_MOST, f"filter(array('a','b','c'),c->length(v)-length(replace(v,c,''))={MOST})[0]"),
+    ("2-9", "abc", f"length(v)>=2 and {UNIQUE_LEAST}", f"filter(array('a','b','c'),c->length(v)-length(replace(v,c,''))={LEAST})[0]"),
     ("3-1", "abc", "true", "trim(BOTH 'a' FROM v)"),
     ("3-2", "abc", "contains(v,'a')", "concat(substring(v,instr(v,'a')),left(v,instr(v,'a')-1))"),
     ("3-3", "abc", "true", "if(trim(BOTH 'a' FROM v)='',repeat('b',length(v)),concat(repeat('b',length(v)-length(trim(LEADING 'a' FROM v))),trim(BOTH 'a' FROM v),repeat('b',length(v)-length(trim(TRAILING 'a' FROM v)))))"),
     ("3-4", "abc", "length(v)>=2 and startswith(v,'a') and endswith(v,'b')", "concat(repeat('b',length(v)-length(trim(TRAILING 'b' FROM v))),trim(TRAILING 'b' FROM trim(LEADING 'a' FROM v)),repeat('a',length(v)-length(trim(LEADING 'a' FROM v))))"),
     ("3-5", "abc", "length(v)>=2", "if(left(v,1)=right(v,1),'true','false')"),
-    ("3-6", "abc", UNIQUE_MOST, f"array_join(filter(split(v,''),c->regexp_count(v,c)={MOST}),'')"),
+    ("3-6", "abc", UNIQUE_MOST, f"array_join(filter(split(v,''),c->length(v)-length(replace(v,c,''))={MOST}),'')"),
     ("3-7", "abc", "true", "if(v=reverse(v),'true','false')"),
     ("4-1", "abc", "true", "concat('hello',v)"),
     ("4-2", "abc", "true", "concat(replace(substring_index(v,'a',3),'a',''),substring(v,length(substring_index(v,'a',3))+2))"),

@@ -28,7 +28,8 @@ def folded(word, to: str):
 def words(spark: SparkSession, sf_dir: str, to: str = ABC) -> DataFrame:
     """value: every word of every document in a small alphabet, once."""
     each = table(spark, sf_dir, "documents").select(F.explode(F.split(spaced(F.col("text")), " ")).alias("w")).distinct()
-    return each.select(folded(F.col("w"), to).alias("value")).where("value <> ''").distinct()
+    # a one-element explode: else a later filter is pushed below the distinct with this expression in place of every use
+    return each.select(F.explode(F.array(folded(F.col("w"), to))).alias("value")).where("value <> ''").distinct()
 
 
 def field_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
