@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from glyphflow.functions.fingerprints import behavior_signature, ordered_probes, semantic_fingerprint, structural_fingerprint
 from glyphflow.functions.strings import Operation, fused
-from glyphflow.operators import domains, mining, selection
+from glyphflow.operators import candidates, domains, mining, selection
 from glyphflow.sources.jsonl import TASK, as_json, read_jsonl
 from glyphflow.streaming.rewrites import first_of_each, rewritten
 
@@ -90,3 +90,11 @@ def test_stream_equals_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["output"] for r in spark.table("rewrites").collect()) == ["abc", "b"]
+
+
+def test_candidates_in_free_text(spark):
+    texts = ["say <program>\na=b\n</program> ok", "```\nx=y\n```\nthen\n```a2\np=q\nr=s\n```", " a=b ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(candidates.extracted(F.col("t"))).collect()] == ["a=b", "p=q\nr=s", "a=b", None]
+    long = spark.createDataFrame([("\n" * 40,), ("a=" + "b" * 600,), ("a=b",)], "t string")
+    assert [r[0] for r in long.select(candidates.gate(F.col("t"))).collect()] == ["too_many_lines", "too_many_characters", None]
