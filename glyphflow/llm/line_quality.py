@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE, ascii_words, let, same
+from .shared import ascii_words, let, same
 
 MIN_DOCS = 20
 SHARE = 0.001

@@ -5,7 +5,6 @@ import random
 import zlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from glyphflow.llm.html_text import extract, main_text
 from glyphflow.llm.pieces import Counts, Ids, load
@@ -124,4 +123,3 @@ def test_pages_of_all_kinds(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<article><p>cut off in the mid"), (4, "u", "plain text"), (5, "u", "<<<>>> <p <b"), (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[1] == got[2] == ("", 0) and got[3] == ("cut off in the mid", 18) and got[4] == ("plain text", 10) and got[6] == ("deep", 4)
-    assert F is not None
