@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from glyphflow.functions import programs as P
 from glyphflow.functions.fingerprints import behavior_signature, ordered_probes, semantic_fingerprint, structural_fingerprint
 from glyphflow.functions.kernel import rewrite
-from glyphflow.operators import auxiliary, candidates, domains, mining, quality, selection
+from glyphflow.operators import auxiliary, candidates, domains, mining, quality, selection, templates
 from glyphflow.operators.batch import outcomes
 from glyphflow.plans.kernel_queries import LIMIT, five, words
 from glyphflow.plans.oracle import outcome_sql, quoted
@@ -164,6 +164,7 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "json_lines": (lambda s, d: jsonl.as_json(docs(s, d).select("doc_id", "lang", "source")), """SELECT '{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '"}' AS value FROM documents"""),
     "schema_errors": (lambda s, d: docs(s, d).select(F.explode(F.split("text", "\n")).alias("raw")).select("raw", jsonl.problems_of(F.col("raw"), jsonl.TASK).alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("n")), "SELECT CASE WHEN trim(r) = '' THEN 'blank line' ELSE 'not a JSON object' END AS error, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS r FROM documents) GROUP BY ALL"),
     "candidate_gate": (lambda s, d: table(s, d, "conversations").select("conv_id", "turn", candidates.gate(candidates.extracted(F.col("text")), 3, 200).alias("reason")), "SELECT conv_id, turn, CASE WHEN length(t) - length(replace(t, chr(10), '')) + 1 > 3 THEN 'too_many_lines' WHEN length(t) > 200 THEN 'too_many_characters' END AS reason FROM (SELECT conv_id, turn, trim(text, ' ' || chr(9) || chr(13) || chr(10)) AS t FROM conversations)"),
+    "program_templates": (lambda s, d: templates.generate(s, SEED, 40), None),
     "public_view": (lambda s, d: jsonl.public_view(tests_of(s, d).select("id", F.lit("x").alias("description"), F.slice("tests", 1, 10).alias("public_tests"), F.col("tests").alias("hidden_tests"))), None),
 }
 QUERIES = {name: query for name, (query, _) in Q.items()}

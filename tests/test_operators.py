@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from glyphflow.functions.fingerprints import behavior_signature, ordered_probes, semantic_fingerprint, structural_fingerprint
+from glyphflow.functions.kernel import run
 from glyphflow.functions.strings import Operation, fused
-from glyphflow.operators import candidates, domains, mining, selection
+from glyphflow.operators import candidates, domains, mining, selection, templates
 from glyphflow.sources.jsonl import TASK, as_json, read_jsonl
 from glyphflow.streaming.rewrites import first_of_each, rewritten
 
@@ -98,3 +99,16 @@ def test_candidates_in_free_text(spark):
     assert [r[0] for r in df.select(candidates.extracted(F.col("t"))).collect()] == ["a=b", "p=q\nr=s", "a=b", None]
     long = spark.createDataFrame([("\n" * 40,), ("a=" + "b" * 600,), ("a=b",)], "t string")
     assert [r[0] for r in long.select(candidates.gate(F.col("t"))).collect()] == ["too_many_lines", "too_many_characters", None]
+
+
+def test_templates_make_programs_that_end(spark):
+    made = templates.generate(spark, 5, 30).collect()
+    again = templates.generate(spark, 5, 30).collect()
+    good = [r["program"] for r in made if r["reason"] is None]
+    assert made == again and len(good) == len(set(good)) and len(good) >= 20
+    assert {r["template"] for r in made} == set(templates.TEMPLATES)
+    for p in good:
+        assert run(p, "abcabc", 500, 200)[2] and run(p, "", 500, 200)[2]
+    assert run(templates.incremented(__import__("random").Random(1), ""), "1011")[0] == "1100"
+    with pytest.raises(ValueError):
+        templates.generate(spark, 1, 1, weights=dict.fromkeys(templates.TEMPLATES, 0.0))
