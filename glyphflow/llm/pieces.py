@@ -19,7 +19,7 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 TWO_SPACES = re.compile(r"\s\s")
 #: Letters to every version of Unicode that are composed already and whose lower case is one of them.
 LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
-ENTRIES = 500_000
+ENTRIES = 1_000_000
 
 
 def load(path: str) -> Tokenizer:

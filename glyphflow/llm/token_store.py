@@ -38,7 +38,7 @@ END = bytes(4)
 WINDOW = 16
 #: A cut after one id in so many, and chunks of so many ids at least and at most.
 MEAN, LEAST, MOST = 1024, 256, 8192
-FRAME = 1 << 20
+FRAME = 1 << 17
 GEAR_SEED = 7
 SALTS = 16
 
@@ -153,7 +153,7 @@ class Pack:
 class Frames:
     """Frames of packs, the last few unpacked ones kept."""
 
-    def __init__(self, most: int = 24):
+    def __init__(self, most: int = 192):
         self.most, self.kept, self.files = most, OrderedDict(), {}
 
     def get(self, name: str, offset: int, length: int) -> bytes:
