@@ -18,7 +18,7 @@ from glyphflow.llm.token_store import store_round_trip
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, and from the others the lines that too many of their host share."""
     return keep_good(docs)
 
 

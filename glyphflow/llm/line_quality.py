@@ -3,7 +3,8 @@
 Built-in functions only. A line is normalised (lower case, one space between words, digits as 0) and hashed; a host's
 limit is the larger of MIN_DOCS and SHARE of its documents. Documents of equal text count once, so that copies, which
 near-dedup handles, don't make each other's lines frequent; the first document (smallest id) of a host that carries a
-frequent line keeps it. A document is depleted, and rejected, when under LEAST_LEFT percent of its words are left.
+frequent line keeps it, all others lose it from their text. A document is depleted, and rejected, when under LEAST_LEFT
+percent of its words are left.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ LEAST_LEFT = 20
 LEAST_WORDS = 50
 MOST_REPEATED = 50
 SALTS = 16
+#: What a line with a word has.
+SOLID = r"[^\x20\x09-\x0D]"
 
 
 def repeated_words(words: Column) -> Column:
@@ -53,7 +56,17 @@ def repeated_words(words: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """The \\n-split lines that have a word."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(SOLID))
+
+
+def without(text: Column, places: Column) -> Column:
+    """text without the \\n-split lines at places (sorted, from 0)."""
+
+    def pieces(whole: Column) -> Column:
+        begins, ends = F.concat(F.array(F.lit(0)), F.transform(places, lambda p: p + 1)), F.concat(places, F.array(F.size(whole)))
+        return F.zip_with(begins, ends, lambda a, b: F.slice(whole, a + 1, b - a))
+
+    return F.when(F.size(places) == 0, text).otherwise(F.array_join(F.flatten(let(F.split(text, "\n"), pieces)), "\n"))
 
 
 def normalised(line: Column) -> Column:
@@ -61,11 +74,12 @@ def normalised(line: Column) -> Column:
 
 
 def base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """One row for each row of docs: _id, _body (hash of the text), _host and the text statistics."""
+    """One row for each row of docs: _id, _body (hash of the text), _host, _text, _row (the other columns) and the text statistics."""
     t = F.coalesce(F.col(text), F.lit(""))
-    with_words = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_body"), F.col(host).alias("_host"), t.alias("_t"), ascii_words(F.col(text)).alias("_w"))
+    others = F.struct(*(docs[c] for c in docs.columns if c != text)).alias("_row")
+    with_words = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_body"), F.col(host).alias("_host"), F.col(text).alias("_text"), others, t.alias("_t"), ascii_words(F.col(text)).alias("_w"))
     stats = with_words.select(
-        "_id", "_body", "_host",
+        "_id", "_body", "_host", "_text", "_row",
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         (F.length("_t") - F.length(F.regexp_replace("_t", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
@@ -76,8 +90,9 @@ def base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str
 
 
 def line_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """A row for each line with a word: its document, place, hash and number of words."""
-    found = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_body"), F.col(host).alias("_host"), F.posexplode(lines(F.col(text))).alias("_at", "_line"))
+    """A row for each line with a word: its document, place among all lines, hash and number of words."""
+    whole = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    found = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_body"), F.col(host).alias("_host"), F.posexplode(whole).alias("_at", "_line")).where(F.col("_line").rlike(SOLID))
     n = normalised(F.col("_line"))
     return found.select("_id", "_body", "_host", "_at", F.xxhash64(n).alias("_hash"), F.size(F.split(n, " ")).alias("_n"))
 
@@ -90,27 +105,34 @@ def frequent_lines(each: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
     return counted.join(hosts.withColumnRenamed("_host", "_h"), F.col("_host").eqNullSafe(F.col("_h"))).where(F.col("_docs") > F.col("_all") * share).drop("_h", "_all")
 
 
-def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, least_left: int = LEAST_LEFT) -> DataFrame:
-    """doc_id, the statistics, n_line_words_removed and kept, a row for each row of docs.
-
-    Null or empty text: no words, base_failed. Null host: a host of its own. Null ids: kept as rows; equal rows get equal
-    verdicts. Columns of docs other than the three named ones are not looked at. No rows give no rows.
-    """
+def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, least_left: int = LEAST_LEFT) -> DataFrame:
+    """What base says of each row of docs, n_line_words_removed, kept_text and kept."""
     each = line_words(docs, doc_id, text, host)
     frequent = frequent_lines(each, min_docs, share).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     frequent = frequent.select(*(F.col(c).alias(f"f{c}") for c in ("_host", "_hash", "_salt", "_first")))
     hit = each.join(frequent, (F.col("_hash") == F.col("f_hash")) & F.col("_host").eqNullSafe(F.col("f_host")) & (F.pmod("_body", F.lit(SALTS)) == F.col("f_salt")))
     hit = hit.where(~F.col("_id").eqNullSafe(F.col("f_first"))).groupBy("_id", "_body", "_host", "_at").agg(F.max("_n").alias("_n"))
-    removed = hit.groupBy("_id", "_body", "_host").agg(F.sum("_n").alias("_removed"))
+    removed = hit.groupBy("_id", "_body", "_host").agg(F.sum("_n").alias("_removed"), F.array_sort(F.collect_list("_at")).alias("_cut"))
     stats = base(docs, doc_id, text, host)
-    out = stats.join(removed, same(stats, removed, "_id", "_body", "_host"), "left")
+    out = stats.join(removed, same(stats, removed, "_id", "_body", "_host"), "left").drop(removed["_id"]).drop(removed["_body"]).drop(removed["_host"])
     gone = F.coalesce(F.col("_removed"), F.lit(0)).cast("long")
     kept = ~F.col("base_failed") & (100 * (F.col("n_words") - gone) >= least_left * F.col("n_words"))
-    return out.select(stats["_id"].alias("doc_id"), stats["_body"].alias("body_hash"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", gone.alias("n_line_words_removed"), kept.alias("kept"))
+    kept_text = without(F.coalesce("_text", F.lit("")), F.coalesce("_cut", F.array().cast("array<int>")))
+    return out.withColumns({"n_line_words_removed": gone, "kept_text": kept_text, "kept": kept}).drop("_removed", "_cut")
+
+
+def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, least_left: int = LEAST_LEFT) -> DataFrame:
+    """doc_id, the statistics (of the whole text), n_line_words_removed, kept_text (the text without the frequent lines that
+    others have first) and kept, a row for each row of docs.
+
+    Null or empty text: no words, base_failed, kept as an empty text. Null host: a host of its own. Null ids: kept as rows;
+    equal rows get equal verdicts. Columns of docs other than the three named ones are not looked at. No rows give no rows.
+    """
+    out = judged(docs, doc_id, text, host, min_docs, share, least_left)
+    return out.select(F.col("_id").alias("doc_id"), F.col("_body").alias("body_hash"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words_removed", "kept_text", "kept")
 
 
-def keep_good(docs: DataFrame, **names: str) -> DataFrame:
-    """docs without the rejected documents, with docs' own columns."""
-    key = names.get("doc_id", "doc_id")
-    good = line_quality(docs, **names).where("kept").select(F.col("doc_id").alias("_k"), F.col("body_hash").alias("_b")).distinct()
-    return docs.join(good, docs[key].eqNullSafe(good["_k"]) & (F.xxhash64(docs[names.get("text", "text")]) == good["_b"]), "left_semi")
+def keep_good(docs: DataFrame, text: str = "text", **how: str | float) -> DataFrame:
+    """docs without the rejected documents and without the lines that go from the others, with docs' own columns."""
+    good = judged(docs, text=text, **how).where("kept")
+    return good.select(*((F.col("kept_text") if c == text else F.col("_row")[c]).alias(c) for c in docs.columns))

@@ -64,7 +64,7 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_quality(table(spark, sf_dir, "documents")).drop("body_hash")
+    return line_quality(table(spark, sf_dir, "documents")).drop("body_hash", "kept_text")
 
 
 QUERIES = {

@@ -246,6 +246,36 @@ def test_line_quality(docs, rows, min_docs, least_left):
     assert line_quality(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("min_docs", [1, 20])
+def test_frequent_lines_leave_the_text(spark, min_docs):
+    rng = random.Random(7)
+    menu = ["Home | News | About", "All rights reserved 2024"]
+    rows = []
+    for i in range(1, 61):
+        ls = [prose(rng, 60), *(x.replace("2024", str(2000 + i)) for x in menu[: i % 3]), "", prose(rng, 3), menu[0] if i % 4 == 0 else " "]
+        rng.shuffle(ls)
+        rows.append((i, "\n".join(ls), None if i % 2 else "h"))
+    rows += [(61, None, "h"), (62, "", "h"), (63, "\n".join(menu * 30) + "\nown words", "h"), rows[9], rows[9]]
+    verdict = rules(rows, min_docs, quality.SHARE, quality.LEAST_LEFT)
+    norm = lambda x: re.sub("[0-9]", "0", " ".join(WORD.findall(x.lower())))
+    carriers, first, hosts = defaultdict(set), {}, defaultdict(set)
+    for i, t, s in rows:
+        for x in filter(WORD.search, (t or "").split("\n")):
+            carriers[s, norm(x)].add(t)
+            hosts[s].add(t)
+            first[s, norm(x)] = min(first.get((s, norm(x)), i), i)
+    goes = lambda i, s, x: WORD.search(x) and len(carriers[s, norm(x)]) > max(min_docs, quality.SHARE * len(hosts[s])) and first[s, norm(x)] != i
+    texts = ["\n".join(x for x in (t or "").split("\n") if not goes(i, s, x)) for i, t, s in rows]
+    df = spark.createDataFrame([(i, "y", t, s) for i, t, s in rows], "doc_id long, _row string, text string, source string").repartition(3)
+    got = sorted((r["doc_id"], r["kept_text"], r["n_line_words_removed"], r["kept"]) for r in line_quality(df, min_docs=min_docs).collect())
+    assert got == sorted((i, t, v[7], v[8]) for (i, *_), t, v in zip(rows, texts, verdict, strict=True))
+    good = keep_good(df, min_docs=min_docs)
+    assert good.columns == df.columns
+    expected = sorted((i, "y", t, s or "") for (i, _, s), t, v in zip(rows, texts, verdict, strict=True) if v[8])
+    assert sorted((r["doc_id"], r["_row"], r["text"], r["source"] or "") for r in good.collect()) == expected
+    assert any(len(t) < len(u or "") for t, (_, u, _), v in zip(texts, rows, verdict, strict=True) if v[8]) and not verdict[62][8]
+
+
 def test_repeated_words(spark):
     texts = ["a b c a b c", "a a a a", "a b c d", "a b", "x y z q x y z x y z", ""]
     df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
