@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: A name and its value; a value is consumed with its name, so nothing is found inside it.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s"'>][^\s>]*+)))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -33,6 +34,9 @@ NEVER = frozenset("head script style noscript template title textarea select but
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored sidebar sidebars navbar nav navigation menu menus breadcrumb breadcrumbs header masthead footer comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations widget widgets toolbar login search copyright disclaimer pagination pager".split()
 )
+#: Of these, the names that head no section of an article; others can be what a section is about.
+SURE = frozenset("adsense navbar breadcrumb breadcrumbs masthead comments commentlist disqus sidebar sidebars pagination pager".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 KEEP = frozenset("article main h1".split())
 
@@ -46,19 +50,33 @@ class Node:
         self.holds = tag in KEEP
 
 
-def is_noise(tag: str, attributes: str) -> bool:
+def is_noise(tag: str, attributes: str, parent: Node | None = None) -> bool:
+    """Whether tag, role, hidden attribute, class or id name boilerplate.
+
+    The ids of headings, and of sections inside an article or main element, are often made of the heading's words: a
+    heading's id says nothing, a section's only if all its words are names and one is of SURE.
+    """
     if tag in NEVER:
         return True
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
+    found: dict[str, str] = {}
     for name, *values in ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
-        if name.lower() == "role":
-            if value in ROLES:
-                return True
-        elif name.lower() == "hidden" or not NAMES.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
-    return False
+        found.setdefault(name.lower(), "".join(values).lower())  # the first of a name counts
+    if "hidden" in found or found.get("role") in ROLES or not NAMES.isdisjoint(re.split(r"[\s_-]+", found.get("class", ""))):
+        return True
+    words = set(re.split(r"[\s_-]+", found.get("id", "")))
+    if NAMES.isdisjoint(words) or tag in HEADINGS:
+        return False
+    if (tag == "section" or "section" in found.get("class", "").split()) and inside(parent, ("article", "main")):
+        return words <= NAMES and not SURE.isdisjoint(words)
+    return True
+
+
+def inside(node: Node | None, tags: tuple[str, ...]) -> bool:
+    while node is not None and node.tag not in tags:
+        node = node.parent
+    return node is not None
 
 
 def parse(page: str) -> Node:
@@ -109,7 +127,7 @@ def parse(page: str) -> Node:
             at = up.parent
         if tag == "br":
             at.children.append(" ")
-        node = Node(tag, at, is_noise(tag, attributes))
+        node = Node(tag, at, is_noise(tag, attributes, at))
         at.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, place)
@@ -162,11 +180,11 @@ def chosen(order: list[Node], body: Node) -> Node:
         else:
             fit.append(node)
     best = max(fit, key=lambda x: x.total)
-    inside = best
-    while inside is not None and inside.tag not in ("article", "main"):
-        inside = inside.parent
-    if inside is not None:
-        return inside
+    whole = best
+    while whole is not None and whole.tag not in ("article", "main"):
+        whole = whole.parent
+    if whole is not None:
+        return whole
     while best.parent is not None and best is not body and best.parent is not body and (best.parent.density >= body.density or best.tag not in BLOCK or best.tag == "p"):
         best = best.parent
     if (best.tag not in BLOCK or best.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6")) and best.parent is not None:
@@ -191,7 +209,7 @@ def blocks(top: Node) -> list[str]:
             end()
         elif isinstance(x, str):
             held.append(x)
-        elif x is top or not (x.noise and not (x.holds and x.tag not in NEVER) or x.tag == "header" and not in_article(x)):
+        elif x is top or not (x.noise and not (x.holds and x.tag not in NEVER) or x.tag == "header" and not inside(x, ("article",))):
             if x.tag in BLOCK:
                 end()
                 stack.append(None)
@@ -200,12 +218,6 @@ def blocks(top: Node) -> list[str]:
     return out
 
 
-def in_article(node: Node) -> bool:
-    while node is not None and node.tag != "article":
-        node = node.parent
-    return node is not None
-
-
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by an empty line; empty for null, empty or textless pages."""
     if not page:

@@ -119,6 +119,31 @@ def test_main_text(tag):
     ]
 
 
+LONG = "A sentence of an article that is long enough to be told from a menu, with several clauses. " * 3
+
+
+@pytest.mark.parametrize(
+    "open_tag,stays",
+    [
+        ('div style="overflow:hidden"', True), ("div style='overflow:hidden'", True), ("div data-hidden", True), ('div aria-hidden="false"', True), ('div title="a hidden gem"', True), ('div title="class=ad"', True),
+        ('div data-id="search"', True), ("div data-x=id=search", True), ('div title = "x id=menu" lang=en', True), ('div title="it\'s hidden" class=story', True), ('div class=story class=ad', True),
+        ('section id="social-effects"', True), ('section id="search"', True), ('div class="section" id="related-work"', True), ('section class="share"', False), ('section id="comments"', False), ('section id="related_comments"', False),
+        ("div hidden", False), ('div HIDDEN=""', False), ('div title="x" hidden="until-found"', False), ("div id=search", False), ("div CLASS='x social-share'", False), ('div lang=en role="search"', False), ('div style="a:b" class="ad"', False), ("div class = menu", False),
+    ],
+)
+def test_noise_is_named_by_real_attributes(open_tag, stays):
+    tag = open_tag.split()[0]
+    page = f"<body><nav><a href=/>Home</a></nav><article><p>{LONG}</p><{open_tag}><p>Inner text.</p></{tag}><p>{LONG}</p></article></body>"
+    assert main_text(page).split("\n\n") == [LONG.strip(), *["Inner text."] * stays, LONG.strip()]
+
+
+def test_links_and_headings_of_an_article_stay():
+    page = f'<body><article><p>{LONG} See <a href="/places/hidden-valley">the valley</a> or <a href="/x?id=search">find it</a>.</p><h2 id="related-work">Related work</h2><h3 id=search>Search</h3><h2 class="ad">Buy</h2><p>{LONG}</p></article></body>'
+    assert main_text(page).split("\n\n") == [f"{LONG}See the valley or find it.", "Related work", "Search", LONG.strip()]
+    page = f'<body><nav><a href=/>Home</a></nav><div style="overflow:hidden"><p>{LONG}</p><p>{LONG}</p></div></body>'
+    assert main_text(page).split("\n\n") == [LONG.strip()] * 2
+
+
 def test_pages_of_all_kinds(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<article><p>cut off in the mid"), (4, "u", "plain text"), (5, "u", "<<<>>> <p <b"), (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
