@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .shared import written
 
+ROUNDS = 99
+
 
 def large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of the node and its neighbours."""
@@ -27,13 +29,16 @@ def components(edges: DataFrame) -> DataFrame:
     """node and component (the smallest node reachable) for every node that has an edge (u, v).
 
     Each round is written to the shared folder; its size and a sum of hashes, one row, tell whether it changed anything.
+    Edges that still change after ROUNDS rounds are an error: their labels would be those of parts of components.
     """
     edges = written(edges.where("u <> v").distinct(), "star-0")
     state = None
-    for i in range(1, 100):
+    for i in range(1, ROUNDS + 1):
         edges = written(small_star(large_star(edges)), f"star-{i}")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"components: not converged after {ROUNDS} rounds of stars")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

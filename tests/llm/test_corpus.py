@@ -126,6 +126,12 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_that_do_not_converge_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr("glyphflow.llm.components.ROUNDS", 2, raising=False)
+    with pytest.raises(RuntimeError, match="not converged"):
+        components(spark.createDataFrame([(i, i + 1) for i in range(60)], "u long, v long"))
+
+
 def test_contamination(spark, docs, rows):
     rng = random.Random(9)
     some = [t for _, t, _ in rows if t and len(t.split()) > 30]
