@@ -184,11 +184,27 @@ def chosen(order: list[Node], body: Node) -> Node:
     while whole is not None and whole.tag not in ("article", "main"):
         whole = whole.parent
     if whole is not None:
-        return whole
+        return widened(whole, body)
     while best.parent is not None and best is not body and best.parent is not body and (best.parent.density >= body.density or best.tag not in BLOCK or best.tag == "p"):
         best = best.parent
     if (best.tag not in BLOCK or best.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6")) and best.parent is not None:
         best = best.parent  # a paragraph by itself is not all of an article
+    return widened(best, body)
+
+
+def widened(top: Node, body: Node) -> Node:
+    """The highest element, up to body, in which another part of the text stands beside top: a block as dense as the body.
+
+    Beside an article or main element, and outside any other, only what holds such an element is a part.
+    """
+    best = node = top
+    while node is not body and node.parent is not None:
+        node, below = node.parent, node
+        named = top.tag in ("article", "main") and not inside(node, ("article", "main"))
+        for x in node.children:
+            if isinstance(x, Node) and x is not below and hasattr(x, "chars") and x.chars and x.tag in BLOCK and x.tag != "header" and not x.noise and x.density >= body.density and (x.holds or not named):
+                best = node
+                break
     return best
 
 

@@ -144,6 +144,22 @@ def test_links_and_headings_of_an_article_stay():
     assert main_text(page).split("\n\n") == [LONG.strip()] * 2
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<main><article><p>%s</p></article><article><p>%s</p></article><article><p>%s</p></article></main>", "<article><p>%s</p></article><article><p>%s</p></article><article><p>%s</p></article>",
+        "<div><p>%s</p></div><div><p>%s</p></div><div><p>%s</p></div>", "<main><div><article><p>%s</p></article><article><p>%s</p></article></div><article><p>%s</p></article></main>",
+    ],
+)
+def test_all_parts_of_a_page_stay(page):
+    parts = [f"{x} part. {LONG}".strip() for x in ("First", "Second", "Third")]
+    first = "</p><p>".join([parts[0]] * 6)  # its density sum is the highest, over that of its parent
+    menu = "<ul><li><a href=/>Home page</a><li><a href=/x>All the news</a></ul>"
+    assert main_text(f"<body><nav>{menu}</nav>{page % (first, *parts[1:])}<div class=ad>Buy now</div><footer>Site</footer></body>").split("\n\n") == [parts[0]] * 5 + parts
+    one = f"<body><div>{menu}</div><article><p>{LONG}</p><p>{LONG}</p></article><div><p>Get our letter.</p></div></body>"
+    assert main_text(one).split("\n\n") == [LONG.strip()] * 2
+
+
 def test_pages_of_all_kinds(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<article><p>cut off in the mid"), (4, "u", "plain text"), (5, "u", "<<<>>> <p <b"), (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
