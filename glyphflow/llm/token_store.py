@@ -22,6 +22,7 @@ import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +31,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .files import reader, writer
+from .hashing import slices
 from .pieces import Ids, load
 from .shared import new_folder, written
 
-#: The end id, 0.
-END = bytes(4)
+#: The id that ends a document.
+END = 0
 WINDOW = 16
 #: A cut after one id in so many, and chunks of so many ids at least and at most.
 MEAN, LEAST, MOST = 1024, 256, 8192
 FRAME = 1 << 17
+#: Texts are encoded together up to so many bytes; a longer one alone.
+SLICE = 8 << 20
 GEAR_SEED = 7
 SALTS = 16
 
@@ -52,28 +56,33 @@ def gear(n: int) -> np.ndarray:
     return np.random.default_rng(GEAR_SEED).integers(0, 1 << 63, n, dtype=np.uint64)
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of ids: content-defined by a rolling sum of WINDOW gear values, each shifted by its age."""
+def cut_places(ids: np.ndarray) -> np.ndarray:
+    """Where a rolling sum of WINDOW gear values, each shifted by its age, has its low bits at zero, after the last id.
+
+    ids may be those of several documents: sums reach back over WINDOW ids at most, and no chunk is as short as that.
+    """
     h = gear(1 << 17)[ids & 0x1FFFF]
     width = 1
     while width < WINDOW:
-        older = np.zeros_like(h)
-        older[width:] = h[:-width]
-        h = h + (older << np.uint64(width))
+        h[width:] += h[:-width] << np.uint64(width)  # numpy reads all of the right side before it writes
         width *= 2
-    mask = np.uint64((MEAN - 1) << (WINDOW - 1))
+    return np.flatnonzero((h & np.uint64((MEAN - 1) << (WINDOW - 1))) == 0) + 1
+
+
+def cuts(places: np.ndarray, n: int) -> list[int]:
+    """Ends of the chunks of n ids, content-defined where places allow it."""
     ends, last = [], 0
-    for at in (np.flatnonzero((h & mask) == 0) + 1).tolist():
+    for at in places.tolist():
         while at - last > MOST:
             last += MOST
             ends.append(last)
         if at - last >= LEAST:
             ends.append(at)
             last = at
-    while len(ids) - last > MOST:
+    while n - last > MOST:
         last += MOST
         ends.append(last)
-    return ends + [len(ids)] if last < len(ids) else ends
+    return ends + [n] if last < n else ends
 
 
 def merkle(digests: list[bytes]) -> bytes:
@@ -84,7 +93,7 @@ def merkle(digests: list[bytes]) -> bytes:
     return level[0]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Ids:
     return Ids(load(path))
 
@@ -95,22 +104,18 @@ def encoded(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFram
     fields = [pa.field("doc_id", pa.string()), pa.field("body_hash", pa.int64()), pa.field("n_tokens", pa.int64()), pa.field("digests", pa.list_(pa.binary())), pa.field("sizes", pa.list_(pa.int32())), pa.field("ids", pa.binary())]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(tokenizer)
+        ids_of, k = encoder(tokenizer), int(width[-1])
         for batch in batches:
-            rows, held = [], 0
-            for key, body, words in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = np.frombuffer(ids_of.of(words or "") + END, dtype="<u4")
-                ends = cuts(ids)
-                data = ids.astype(width).tobytes()
-                k = int(width[-1])
-                begins = [0, *ends[:-1]]
-                rows.append((key, body, len(ids), [hashlib.sha256(data[a * k : b * k]).digest() for a, b in zip(begins, ends, strict=True)], [b - a for a, b in zip(begins, ends, strict=True)], data))
-                held += len(data)
-                if held > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=pa.schema(fields))
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), fields, strict=True)], schema=pa.schema(fields))
+            for a, b, words, offsets in slices(batch.column(2), SLICE):
+                ids, begins = ids_of.of(words, offsets, END)
+                packed = ids.astype(width).tobytes()
+                places, rows = cut_places(ids), []
+                for (at, to), (first, last) in zip(pairwise(begins.tolist()), pairwise(np.searchsorted(places, begins, "right").tolist()), strict=True):
+                    ends = cuts(places[first:last] - at, to - at)
+                    edges = [0, *ends]
+                    rows.append((to - at, [hashlib.sha256(packed[(at + x) * k : (at + y) * k]).digest() for x, y in pairwise(edges)], [y - x for x, y in pairwise(edges)], packed[at * k : to * k]))
+                named = [batch.column(i).slice(a, b - a) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*named, *(pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), fields[2:], strict=True))], schema=pa.schema(fields))
 
     kind = docs.schema[doc_id].dataType
     out = docs.select(F.col(doc_id).cast("string"), F.xxhash64(F.col(text)), F.col(text)).mapInArrow(encode, "doc_id string, body_hash long, n_tokens long, digests array<binary>, sizes array<int>, ids binary")

@@ -4,45 +4,88 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 
+from glyphflow.llm.hashing import slices
 from glyphflow.llm.html_text import extract, main_text
 from glyphflow.llm.pieces import Counts, Ids, load
 from glyphflow.llm.queries import tokenizer
 from glyphflow.llm.shared import new_folder
 from glyphflow.llm.token_count import count_huge, count_tokens
-from glyphflow.llm.token_store import cuts, merkle, store_round_trip
+from glyphflow.llm.token_store import cut_places, cuts, merkle, store_round_trip
 from glyphflow.llm.warc import WarcError, members, parsed, read_warc, round_trip, write_warc
 
 ODD = ["", "a  b", " lead", "trail ", "x\n\ny", "I'm don't", "naïvé Ünï", "tab\there", "<|endoftext|> x<|startoftext|>y", "1234 56.7,8 .., a.b", "\n", "a\x1cb c", "日本語 テキスト.", "É. È,", "a\xa0b", " \n a", "It's. 's", "foo.\nBar baz,\nqux \n z", "é ́x", "İstanbul K"]
 
 
+#: Among others: letters that grow in lower case or compose, marks, conjoining letters, all kinds of white space, parts of special tokens.
+SIGNS = ["a", "b", "Z", "é", "İ", "ß", "\u0301", "\u0345", " ", " ", " ", ".", ",", "\n", "\r", "\t", "'", "s", "1", "<|endoftext|>", "<|startoftext|>", "<|", "\x1c", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\u1680", "日", "本", "。", "가", "\u1100", "\u1161", "ﬁ", "😀", "\u200b", "ς", "Σ", "-", "!", "ǅ", "\x00", "\x7f", "\u09c7", "\u09be"]
+
+
+def lib_counts(tokenizer_, texts):
+    return [len(x.ids) for x in tokenizer_.encode_batch(texts, add_special_tokens=False)]
+
+
+def strange(rng, lengths):
+    return "".join(rng.choice(SIGNS) for _ in range(rng.choice(lengths)))
+
+
 @pytest.fixture(scope="module")
 def counts():
-    return Counts(load(tokenizer("word_bpe_49k.json")), entries=50)
+    return Counts(load(tokenizer("word_bpe_49k.json")), most=10_000)
 
 
 def test_pieces_equal_the_library(counts):
-    ids = Ids(load(tokenizer("byte_bpe_50k.json")), entries=50)
+    ids = Ids(load(tokenizer("byte_bpe_50k.json")), most=10_000)
     rng = random.Random(1)
-    texts = ODD + ["".join(rng.choice("ab é.,\n'1 \t<|") for _ in range(60)) for _ in range(300)]
-    for t in texts:
-        assert counts.of(t) == len(counts.tokenizer.encode(t, add_special_tokens=False).ids), repr(t)
-        assert ids.of(t) == b"".join(i.to_bytes(4, "little") for i in ids.tokenizer.encode(t, add_special_tokens=False).ids), repr(t)
+    texts = ODD + ["Bİ. " * 10, "Bİ.", "TİPİ, x", None] + [strange(rng, (0, 1, 2, 3, 5, 8, 13, 40)) for _ in range(6000)]
+    plain = [t or "" for t in texts]
+    expected = [x.ids + [0] for x in ids.tokenizer.encode_batch(plain, add_special_tokens=False)]
+    sizes = lib_counts(counts.tokenizer, plain)
+    for a, b, data, offsets in slices(pa.array(texts), 1000):
+        found, begins = ids.of(data, offsets, 0)
+        assert [found[x:y].tolist() for x, y in zip(begins, begins[1:], strict=False)] == expected[a:b]
+        assert counts.of(data, offsets).tolist() == sizes[a:b]
+
+
+def test_tokenizers_that_are_not_covered_are_refused(spark):
+    with pytest.raises(ValueError, match="proven"):
+        Counts(load(tokenizer("byte_bpe_50k.json")))
+    with pytest.raises(ValueError, match="proven"):
+        Ids(load(tokenizer("word_bpe_49k.json")))
+    with pytest.raises(ValueError, match="proven"):
+        count_tokens(spark.range(1).selectExpr("id doc_id", "'x' text"), tokenizer("byte_bpe_50k.json"))
 
 
 @pytest.mark.parametrize("chunk,overlap", [(40, 8), (64, 4), (200, 16)])
 def test_spliced_chunks_equal_the_whole(counts, chunk, overlap):
     rng = random.Random(chunk)
-    for words in (["the", "of", "antidisestablishment", "é1", "x" * 90], ["a"], ["y" * 300]):
-        text = " ".join(rng.choice(words) for _ in range(120))
-        assert count_huge(counts.tokenizer, text, chunk, overlap) == len(counts.tokenizer.encode(text, add_special_tokens=False).ids)
+    texts = [" ".join(rng.choice(words) for _ in range(120)) for words in (["the", "of", "antidisestablishment", "é1", "x" * 90], ["a"], ["y" * 300], ["日本語。", "テキスト、"])]
+    texts += ["日本語の文。" * 80, "x" * 900, "日" * 700, *(strange(rng, (300, 500)) for _ in range(150))]
+    assert [count_huge(counts.tokenizer, t, chunk, overlap) for t in texts] == lib_counts(counts.tokenizer, texts)
+
+
+def test_a_text_without_white_space_is_spliced(counts):
+    sizes = []
+
+    class Spy:
+        def encode(self, text, **how):
+            sizes.append(len(text))
+            return counts.tokenizer.encode(text, **how)
+
+    text = "日本語の文章です。" * 4000
+    assert count_huge(Spy(), text, 2000, 64) == lib_counts(counts.tokenizer, [text])[0] and max(sizes) <= 2000 and len(sizes) > 15
 
 
-def test_count_tokens(spark):
-    df = spark.createDataFrame([(1, "Hello world", "z"), (2, None, "z"), (None, "", "z"), (1, "Hello world", "z")], "doc_id long, text string, n_tokens string")
-    got = [(r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in count_tokens(df, tokenizer("word_bpe_49k.json"), limit=1).collect()]
-    assert got == [(1, 11, 2, True), (2, 0, 0, False), (None, 0, 0, False), (1, 11, 2, True)]
+@pytest.mark.parametrize("huge", [50, 8192])
+def test_count_tokens(spark, huge):
+    rng = random.Random(huge)
+    texts = ["Hello world", None, "", "Hello world", "Bİ. " * 10, "日本。" * 90, *(strange(rng, (0, 5, 49, 50, 51, 300)) for _ in range(120))]
+    df = spark.createDataFrame([(None if i == 2 else i, t, "z") for i, t in enumerate(texts)], "doc_id long, text string, n_tokens string")
+    got = [(r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in count_tokens(df, tokenizer("word_bpe_49k.json"), limit=2, huge=huge).collect()]
+    plain = [t or "" for t in texts]
+    assert got == [(None if i == 2 else i, len(t.encode()), n, n > 2) for i, (t, n) in enumerate(zip(plain, lib_counts(load(tokenizer("word_bpe_49k.json")), plain), strict=True))]
     assert count_tokens(df.limit(0), tokenizer("word_bpe_49k.json")).count() == 0
 
 
@@ -68,9 +111,12 @@ def test_chunks_and_merkle():
     import numpy as np
 
     ids = np.random.default_rng(1).integers(0, 50_000, 60_000).astype(np.uint32)
-    ends = cuts(ids)
+    chunks = lambda x: cuts(cut_places(x), len(x))
+    ends = chunks(ids)
     assert ends[-1] == len(ids) and all(b - a <= 8192 for a, b in zip([0, *ends], ends, strict=False))
-    moved = cuts(np.concatenate([ids[:100], ids]))
+    both = cut_places(np.concatenate([ids[:5000], ids]))
+    assert cuts(both[both > 5000] - 5000, len(ids)) == ends
+    moved = chunks(np.concatenate([ids[:100], ids]))
     assert len({e - 100 for e in moved} & set(ends)) > 0.8 * len(ends)
     assert merkle([b"a"]) == b"a" and merkle([b"a", b"b"]) == hashlib.sha256(b"ab").digest() and merkle([]) == hashlib.sha256(b"").digest()
 
