@@ -1,9 +1,10 @@
 """Main text of web pages by composite text density.
 
-Each element of the DOM has a density: characters for each tag, adjusted for how many of both are in links. The element
-whose children's densities sum highest holds the article; from it the search climbs while the parent is at least as dense
-as the body, the threshold along the body path, and not past an article or main element. Boilerplate inside the chosen
-subtree, named by tag, role or class, is left out; its text counts for the densities as that of any element does.
+Each element of the DOM has a density: characters for each tag, adjusted for how many of both are in links. Of all
+elements, the one whose children's densities sum highest is content; the least density on the path from it up to body is
+the threshold, and in every other element that reaches it the subtree of the highest sum is content as well. Elements that
+are boilerplate by tag or role, or by class or id where they aren't most of the page, have no part in that and are left out
+of the text; so are blocks of links beside the content. An article or main element decides between equal sums only.
 """
 
 from __future__ import annotations
@@ -38,96 +39,141 @@ NAMES = frozenset(
 SURE = frozenset("adsense navbar breadcrumb breadcrumbs masthead comments commentlist disqus sidebar sidebars pagination pager".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
+#: Of the names, those that a paragraph by itself can have that is none of the article's.
+PARAGRAPH = frozenset("ad ads advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored breadcrumb breadcrumbs comment comments cookie cookies consent gdpr newsletter pagination pager".split())
+#: Readers' comments, however long.
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: A class that begins so says what an element has or lacks.
+ABOUT = ("no-", "not-", "has-", "with-", "without-", "is-", "hide-", "show-")
 KEEP = frozenset("article main h1".split())
+PARTS = ("article", "main")
+UNSEEN = frozenset("head script style noscript template".split())
+HOLDERS = frozenset("ul ol menu dl table select".split())
+#: Elements that can be all of an article, those that stay if they stand beside content, and those that can be menus.
+CONTAINERS = frozenset("article main section div center td body html".split())
+FLOW = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure b i em strong span a".split())
+GROUPS = frozenset("div section ul ol table dl center".split())
+#: Named by class or id only; named for sure.
+WEAK, STRONG = 1, 2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "noise", "holds", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "noise", "holds", "part", "article", "chars", "tags", "link_chars", "link_tags", "density", "total", "alive", "peak", "marked")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool = False):
+    def __init__(self, tag: str, parent: Node | None, noise: int = 0):
         self.tag, self.parent, self.noise = tag, parent, noise
         self.children: list[Node | str] = []
         self.holds = tag in KEEP
+        self.part = tag in PARTS or parent is not None and parent.part  # inside an article or main element, or one itself
+        self.article = tag == "article" or parent is not None and parent.article
+        self.alive = self.marked = False
 
 
-def is_noise(tag: str, attributes: str, parent: Node | None = None) -> bool:
-    """Whether tag, role, hidden attribute, class or id name boilerplate.
+def named(value: str) -> set[str]:
+    """The words of a class or id; a word that says what an element has or lacks says nothing of what it is."""
+    return {w for token in value.split() if not token.startswith(ABOUT) for w in re.split("[_-]+", token)}
+
+
+def noise_of(tag: str, attributes: str, parent: Node | None = None) -> int:
+    """Whether tag, role or hidden attribute (STRONG), class or id (WEAK but for comments) name boilerplate; else 0.
 
     The ids of headings, and of sections inside an article or main element, are often made of the heading's words: a
-    heading's id says nothing, a section's only if all its words are names and one is of SURE.
+    heading's id says nothing, a section's only if all its words are names and one is of SURE. Of a paragraph, only the
+    names count that no article's own paragraphs have.
     """
     if tag in NEVER:
-        return True
+        return STRONG
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+        return 0
     found: dict[str, str] = {}
     for name, *values in ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), "".join(values).lower())  # the first of a name counts
-    if "hidden" in found or found.get("role") in ROLES or not NAMES.isdisjoint(re.split(r"[\s_-]+", found.get("class", ""))):
-        return True
-    words = set(re.split(r"[\s_-]+", found.get("id", "")))
-    if NAMES.isdisjoint(words) or tag in HEADINGS:
-        return False
-    if (tag == "section" or "section" in found.get("class", "").split()) and inside(parent, ("article", "main")):
-        return words <= NAMES and not SURE.isdisjoint(words)
-    return True
-
-
-def inside(node: Node | None, tags: tuple[str, ...]) -> bool:
-    while node is not None and node.tag not in tags:
-        node = node.parent
-    return node is not None
+    if "hidden" in found or found.get("role") in ROLES:
+        return STRONG
+    names = PARAGRAPH if tag in ("p", "blockquote", "pre") else NAMES
+    classes, words = named(found.get("class", "")), named(found.get("id", ""))
+    if names.isdisjoint(classes):
+        if names.isdisjoint(words) or tag in HEADINGS:
+            return 0
+        if (tag == "section" or "section" in found.get("class", "").split()) and parent is not None and parent.part and not (words <= NAMES and not SURE.isdisjoint(words)):
+            return 0
+    return WEAK if COMMENTS.isdisjoint(classes | words) else STRONG
+
+
+class Open:
+    """The open elements, innermost last, with what a tag needs to know of them in constant time."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.blocks, self.scopes, self.count = [root], [root], [root], {}
+
+    def push(self, node: Node) -> None:
+        self.nodes.append(node)
+        self.count[node.tag] = self.count.get(node.tag, 0) + 1
+        if node.tag in BLOCK:
+            self.blocks.append(node)
+        if node.tag in ENDS or node.tag in HOLDERS:
+            self.scopes.append(node)
+
+    def close(self, node: Node) -> None:
+        """Closes node, which is open, and all that is open in it."""
+        while True:
+            last = self.nodes.pop()
+            self.count[last.tag] -= 1
+            for stack in (self.blocks, self.scopes):
+                if stack[-1] is last:
+                    stack.pop()
+            if last is node:
+                return
+
+    def end(self, tag: str) -> None:
+        if self.count.get(tag):
+            at = len(self.nodes) - 1
+            while self.nodes[at].tag != tag:
+                at -= 1
+            self.close(self.nodes[at])
 
 
 def parse(page: str) -> Node:
-    """The page's DOM; ends that are missing or wrong are taken as browsers take the usual ones."""
-    root = at = Node("html", None)
-    body: Node | None = None
+    """The page's DOM; ends that are missing or wrong are taken as browsers take the usual ones. Linear in the page."""
+    root = Node("html", None)
+    open_, body = Open(root), None
     place, n = 0, len(page)
     while place < n:
         found = TOKEN.search(page, place)
         start = found.start() if found else n
         if start > place:
-            at.children.append(html.unescape(page[place:start]))
+            open_.nodes[-1].children.append(html.unescape(page[place:start]))
         if not found:
             break
         place = found.end()
         tag = (found[2] or found[5] or "").lower()
-        if not tag:
+        if not tag or tag == "html":
             continue
         attributes = found[3] or found[6] or ""
         if found[1] or found[4]:
-            up = at
-            while up is not root and up.tag != tag:
-                up = up.parent
             if tag == "br":
-                at.children.append(" ")
-            elif up is not root and tag not in ("body", "html"):
-                at = up.parent
-            continue
-        if tag == "html":
+                open_.nodes[-1].children.append(" ")
+            elif tag != "body":
+                open_.end(tag)
             continue
         if tag == "body":
-            while at.tag == "head" or at.parent and at.parent.tag == "head":
-                at = at.parent
+            open_.end("head")
             if body is None:
-                body = at = node = Node("body", root, False)
-                root.children.append(node)
+                body = Node("body", open_.nodes[-1])
+                body.parent.children.append(body)
+                open_.push(body)
             continue
         if tag in BLOCK:  # a block ends an open paragraph, with what is open in it
-            up = at
-            while up is not root and up.tag not in BLOCK:
-                up = up.parent
-            if up.tag == "p" or up.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-                at = up.parent
-        up = at
-        while up is not root and tag not in ENDS.get(up.tag, ()) and not (up.tag in ("ul", "ol", "menu", "dl", "table", "select")):
-            up = up.parent
-        if tag in ENDS.get(up.tag, ()) and up is not root:
-            at = up.parent
+            near = open_.blocks[-1]
+            if near.tag == "p" or near.tag in HEADINGS and tag in HEADINGS:
+                open_.close(near)
+        near = open_.scopes[-1]
+        if tag in ENDS.get(near.tag, ()):
+            open_.close(near)
+        at = open_.nodes[-1]
         if tag == "br":
             at.children.append(" ")
-        node = Node(tag, at, is_noise(tag, attributes, at))
+        node = Node(tag, at, noise_of(tag, attributes, at))
         at.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, place)
@@ -135,19 +181,23 @@ def parse(page: str) -> Node:
                 node.children.append(html.unescape(page[place : end.start()]))
             place = end.end()
         elif tag not in VOID and not attributes.endswith("/"):
-            at = node
+            open_.push(node)
     return root
 
 
+def elements(node: Node) -> list[Node]:
+    return [x for x in node.children if isinstance(x, Node) and x.tag not in UNSEEN]
+
+
 def measure(root: Node) -> list[Node]:
     """Counts of every element, without head, scripts and styles; the elements in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack += [x for x in reversed(node.children) if isinstance(x, Node) and x.tag not in ("head", "script", "style", "noscript", "template")]
+        stack += reversed(elements(node))
     for node in reversed(order):
-        own = [x for x in node.children if isinstance(x, Node) and hasattr(x, "chars")]
+        own = elements(node)
         node.chars = sum(len(x.strip()) for x in node.children if isinstance(x, str)) + sum(x.chars for x in own)
         node.tags = sum(x.tags + 1 for x in own)
         link = node.tag in ("a", "button", "select")
@@ -157,59 +207,73 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
+def composite(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
+    """Characters for each tag, adjusted for how many of both are in links; share: the body's part of characters in links.
+
+    The base of the logarithm is e at least: on a page with few links it would be next to 1, and short texts the densest.
+    """
+    if not chars:
+        return 0.0
+    tags = max(1, tags)
+    base = math.log(chars / max(1, chars - link_chars) * link_chars + share * chars + math.e)
+    return chars / tags * math.log(chars / max(1, link_chars) * (tags / max(1, link_tags))) / max(1.0, math.log(base))
+
+
 def weigh(order: list[Node], body: Node) -> None:
-    """Composite density of every element, and the sum of its children's."""
+    """Density of every element, the sum of its children's, and the element of the highest sum in its subtree (peak).
+
+    Elements that name boilerplate aren't alive, nor is what they hold. One whose class or id does so is, if it holds an
+    article, a main element or a first heading, or if the page has none and it holds most of the text that isn't in links.
+    """
     share = body.link_chars / max(1, body.chars)
+    most = (body.chars - body.link_chars) / 2
     for node in order:
-        c, t, lc, lt = node.chars, max(1, node.tags), node.link_chars, node.link_tags
-        if not c:
-            node.density = 0.0
-            continue
-        base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
-        node.density = c / t * math.log((c / max(1, lc)) * (t / max(1, lt)) + 1e-9) / math.log(base) if base > 1 + 1e-9 else c / t
-    for node in order:
-        node.total = sum(x.density for x in node.children if isinstance(x, Node) and hasattr(x, "chars"))
+        node.density = composite(node.chars, node.tags, node.link_chars, node.link_tags, share)
+        real = not node.noise or node.tag not in NEVER and node.holds or node.noise == WEAK and not body.holds and node.chars - node.link_chars > most
+        node.alive = real and (node.parent is None or node.parent.alive)
+    for node in reversed(order):
+        own = elements(node)
+        node.total = sum(x.density for x in own)
+        node.peak = max([node, *(x.peak for x in own if x.alive)], key=lambda x: (x.total, x.tag in PARTS))
 
 
 def chosen(order: list[Node], body: Node) -> Node:
-    """The element with the highest density sum, raised while its parent is as dense as the body."""
-    fit, skipped = [], set()
-    for node in order:
-        if id(node.parent) in skipped or node.noise and not node.holds:
-            skipped.add(id(node))
-        else:
-            fit.append(node)
-    best = max(fit, key=lambda x: x.total)
-    whole = best
-    while whole is not None and whole.tag not in ("article", "main"):
-        whole = whole.parent
-    if whole is not None:
-        return widened(whole, body)
-    while best.parent is not None and best is not body and best.parent is not body and (best.parent.density >= body.density or best.tag not in BLOCK or best.tag == "p"):
-        best = best.parent
-    if (best.tag not in BLOCK or best.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6")) and best.parent is not None:
-        best = best.parent  # a paragraph by itself is not all of an article
-    return widened(best, body)
-
-
-def widened(top: Node, body: Node) -> Node:
-    """The highest element, up to body, in which another part of the text stands beside top: a block as dense as the body.
-
-    Beside an article or main element, and outside any other, only what holds such an element is a part.
+    """Marks the elements that are content and returns the one with the highest density sum.
+
+    The least density on the path from that one up to body is the threshold: of each element that reaches it, the part of
+    the highest sum is content. Beside an article or main element, what is outside any such must be as dense as it.
     """
-    best = node = top
-    while node is not body and node.parent is not None:
-        node, below = node.parent, node
-        named = top.tag in ("article", "main") and not inside(node, ("article", "main"))
-        for x in node.children:
-            if isinstance(x, Node) and x is not below and hasattr(x, "chars") and x.chars and x.tag in BLOCK and x.tag != "header" and not x.noise and x.density >= body.density and (x.holds or not named):
-                best = node
-                break
+    best = body.peak
+    path = [best]
+    while path[-1] is not body and path[-1].parent is not None:
+        path.append(path[-1].parent)
+    threshold = min(x.density for x in path)
+    whole = next((x for x in path if x.tag in PARTS), None)
+    stack = [body]
+    while stack:
+        node = stack.pop()
+        if node.marked or not node.alive:
+            continue
+        if node.density >= (threshold if whole is None or node.part or node.holds else max(threshold, whole.density)):
+            peak = node.peak
+            while peak.tag not in CONTAINERS and peak.parent is not None and peak.parent is not body:
+                peak = peak.parent  # a paragraph by itself is not all of an article
+            peak.marked = True
+        if not node.marked:
+            stack += elements(node)
     return best
 
 
-def blocks(top: Node) -> list[str]:
-    """The texts of the blocks in page order, white space as one space, without boilerplate."""
+def is_menu(node: Node) -> bool:
+    """Whether a block is little but links."""
+    return node.tag in GROUPS and node.link_tags >= 3 and 3 * node.link_chars >= 2 * node.chars
+
+
+def blocks(body: Node) -> list[str]:
+    """The texts of the content's blocks in page order, white space as one space, without boilerplate.
+
+    Beside a marked element, headings, paragraphs, lists and tables of little link text are content, too, however short.
+    """
     out: list[str] = []
     held: list[str] = []
 
@@ -218,18 +282,24 @@ def blocks(top: Node) -> list[str]:
             out.append(text)
         held.clear()
 
-    stack: list[Node | str | None] = [top]
+    def fits(x: Node, beside: bool) -> bool:
+        return x.tag in FLOW and beside and 2 * x.link_chars <= x.chars
+
+    stack: list[tuple[Node | str | None, bool]] = [(body, body.marked)]
     while stack:
-        x = stack.pop()
+        x, content = stack.pop()
         if x is None:
             end()
         elif isinstance(x, str):
-            held.append(x)
-        elif x is top or not (x.noise and not (x.holds and x.tag not in NEVER) or x.tag == "header" and not inside(x, ("article",))):
+            if content:
+                held.append(x)
+        elif x is body or x.tag not in UNSEEN and x.alive and not (x.tag == "header" and not x.article) and not (content and body.marked and not x.article and is_menu(x)):
+            content = content or x.marked
+            beside = not content and any(isinstance(y, Node) and y.marked for y in x.children)
             if x.tag in BLOCK:
                 end()
-                stack.append(None)
-            stack += reversed(x.children)
+                stack.append((None, False))
+            stack += [(y, content or isinstance(y, Node) and fits(y, beside)) for y in reversed(x.children)]
     end()
     return out
 
@@ -244,11 +314,16 @@ def main_text(page: str | None) -> str:
     if not body.chars:
         return ""
     weigh(order, body)
-    return "\n\n".join(blocks(chosen(order, body)))
+    chosen(order, body)
+    return "\n\n".join(blocks(body))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, text and n_chars for each row of pages. One pass, no shuffle; a task holds a batch of pages."""
+    """page_id, url, text and n_chars for each row of pages; other columns are not looked at, whatever their names.
+
+    Null, empty and textless pages have an empty text. Null ids and urls stay. Equal rows give equal rows, no rows none.
+    One pass, no shuffle; a task holds a batch of pages, and time is linear in a page's length, however deep its elements.
+    """
 
     @F.pandas_udf("string")
     def text(column: pd.Series) -> pd.Series:

@@ -1,12 +1,15 @@
 """Words, tokens, HTML and WARC against brute force and exact round trips, with nulls, empty and odd texts."""
 
 import hashlib
+import math
 import random
+import time
 import zlib
 
 import pyarrow as pa
 import pytest
 
+from glyphflow.llm import html_text
 from glyphflow.llm.hashing import slices
 from glyphflow.llm.html_text import extract, main_text
 from glyphflow.llm.pieces import Counts, Ids, load
@@ -16,6 +19,7 @@ from glyphflow.llm.token_count import count_huge, count_tokens
 from glyphflow.llm.token_store import cut_places, cuts, merkle, store_round_trip
 from glyphflow.llm.warc import WarcError, members, parsed, read_warc, round_trip, write_warc
 
+VOCABULARY = "the of and to in that is was he for it with as his on be at by had not extraordinary".split()
 ODD = ["", "a  b", " lead", "trail ", "x\n\ny", "I'm don't", "naïvé Ünï", "tab\there", "<|endoftext|> x<|startoftext|>y", "1234 56.7,8 .., a.b", "\n", "a\x1cb c", "日本語 テキスト.", "É. È,", "a\xa0b", " \n a", "It's. 's", "foo.\nBar baz,\nqux \n z", "é ́x", "İstanbul K"]
 
 
@@ -36,7 +40,9 @@ def counts():
     return Counts(load(tokenizer("word_bpe_49k.json")), most=10_000)
 
 
-def test_pieces_equal_the_library(counts):
+@pytest.mark.parametrize("together", [1, 50, 1 << 18])
+def test_pieces_equal_the_library(counts, monkeypatch, together):
+    monkeypatch.setattr("glyphflow.llm.pieces.TOGETHER", together)
     ids = Ids(load(tokenizer("byte_bpe_50k.json")), most=10_000)
     rng = random.Random(1)
     texts = ODD + ["Bİ. " * 10, "Bİ.", "TİPİ, x", None] + [strange(rng, (0, 1, 2, 3, 5, 8, 13, 40)) for _ in range(6000)]
@@ -44,8 +50,8 @@ def test_pieces_equal_the_library(counts):
     expected = [x.ids + [0] for x in ids.tokenizer.encode_batch(plain, add_special_tokens=False)]
     sizes = lib_counts(counts.tokenizer, plain)
     for a, b, data, offsets in slices(pa.array(texts), 1000):
-        found, begins = ids.of(data, offsets, 0)
-        assert [found[x:y].tolist() for x, y in zip(begins, begins[1:], strict=False)] == expected[a:b]
+        found = [x[i:j].tolist() for _, _, x, begins in ids.of(data, offsets, 0) for i, j in zip(begins, begins[1:], strict=False)]
+        assert found == expected[a:b]
         assert counts.of(data, offsets).tolist() == sizes[a:b]
 
 
@@ -206,7 +212,126 @@ def test_all_parts_of_a_page_stay(page):
     assert main_text(one).split("\n\n") == [LONG.strip()] * 2
 
 
+def test_names_say_nothing_of_containers_and_paragraphs():
+    assert main_text(f"<body><div class='content no-sidebar'><p>{LONG}</p></div></body>") == LONG.strip()
+    assert main_text(f"<body><div id='main' class='layout with-sidebar'><p>{LONG}</p></div><nav><a href=/>x</a></nav></body>") == LONG.strip()
+    assert main_text(f"<body><div class=widget><p>{LONG}</p><p>{LONG}</p></div><div class=widget>Other.</div></body>").split("\n\n") == [LONG.strip()] * 2
+    assert main_text(f"<body><div><p>{LONG}</p><p class=search>How to search.</p><p class=ad>Buy.</p></div></body>").split("\n\n") == [LONG.strip(), "How to search."]
+    comments = f"<div class=comments><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(f"<body><div><p>{LONG}</p></div>{comments}</body>") == LONG.strip()
+
+
+def random_page(rng, depth=0):
+    """A tree of (tag, children) without an article; texts are strings."""
+    out = []
+    for _ in range(rng.choice([1, 2, 3, 5])):
+        kind = rng.choice(["div", "section", "p", "p", "menu", "h2", "text"] if depth < 4 else ["p", "h2"])
+        words = lambda n: " ".join(rng.choice(VOCABULARY) for _ in range(rng.randint(1, n)))
+        link = ("a", [words(2)])
+        if kind in ("div", "section"):
+            out.append((kind, random_page(rng, depth + 1)))
+        elif kind == "menu":
+            out.append(("ul", [("li", [link]) for _ in range(rng.randint(1, 6))]))
+        elif kind == "text":
+            out.append(words(8))
+        else:
+            out.append((kind, [words(60 if kind == "p" else 4), *rng.choice([[], [link], [("b", [words(3)]), words(9)]])]))
+    return out
+
+
+def rendered(node):
+    return node if isinstance(node, str) else f"<{node[0]}>{' '.join(map(rendered, node[1]))}</{node[0]}>"
+
+
+def plain_text(body):
+    """What main_text gives for such a page, straight from the definitions; each figure is found by walking the subtree."""
+    size = lambda x: len(x.strip()) if isinstance(x, str) else sum(map(size, x[1]))
+    below = lambda x: [y for z in x[1] if not isinstance(z, str) for y in (z, *below(z))]
+    links = lambda x: [y for y in (x, *below(x)) if y[0] == "a"]
+
+    def density(x):
+        c, t, lc, lt = size(x), max(1, len(below(x))), sum(map(size, links(x))), len(links(x))
+        if not c:
+            return 0.0
+        share = sum(map(size, links(body))) / max(1, size(body))
+        base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
+        return c / t * math.log(c / max(1, lc) * (t / max(1, lt))) / max(1.0, math.log(base))
+
+    total = lambda x: sum(density(y) for y in x[1] if not isinstance(y, str))
+    above = {id(y): x for x in (body, *below(body)) for y in x[1]}
+    peak = lambda x: max([x, *below(x)], key=total)
+    path = [peak(body)]
+    while path[-1] is not body:
+        path.append(above[id(path[-1])])
+    least, marked = min(map(density, path)), set()
+
+    def mark(x):
+        if density(x) >= least:
+            top = peak(x)
+            while top[0] not in ("div", "section", "body") and above[id(top)] is not body:
+                top = above[id(top)]
+            marked.add(id(top))
+        for y in x[1]:
+            if not isinstance(y, str) and id(x) not in marked and id(y) not in marked:
+                mark(y)
+
+    mark(body)
+    out, held = [], []
+
+    def end():
+        if held and (t := " ".join(" ".join(held).split())):
+            out.append(t)
+        held.clear()
+
+    def put(x, content):
+        if isinstance(x, str):
+            held.extend([x] * content)
+            return
+        if content and id(body) in marked and x[0] in ("div", "section", "ul") and len(links(x)) >= 3 and 3 * sum(map(size, links(x))) >= 2 * size(x):
+            return
+        content = content or id(x) in marked
+        beside = not content and any(id(y) in marked for y in x[1])
+        block = x[0] not in ("a", "b")
+        if block:
+            end()
+        for y in x[1]:
+            put(y, content or not isinstance(y, str) and beside and y[0] in ("p", "h2", "ul", "a", "b") and 2 * sum(map(size, links(y))) <= size(y))
+        if block:
+            end()
+
+    put(body, id(body) in marked)
+    return "\n\n".join(out)
+
+
+def test_main_text_equals_a_plain_version():
+    rng, found = random.Random(12), 0
+    for _ in range(300):
+        body = ("body", random_page(rng))
+        text = main_text(rendered(body))
+        assert text == plain_text(body), rendered(body)
+        found += 0 < len(text) < len("\n\n".join(x for x in [rendered(body)]))
+    assert found > 250
+
+
+def test_densities_decide(monkeypatch):
+    menu = "<div><ul>" + "<li><a href=/x>One of many links</a> and</li>" * 30 + "</ul></div>"
+    page = f"<body>{menu}<div><p>{LONG}</p><p>{LONG}</p></div>{menu}</body>"
+    assert main_text(page).split("\n\n") == [LONG.strip()] * 2
+    plain = html_text.composite
+    monkeypatch.setattr(html_text, "composite", lambda *how: -plain(*how))
+    assert LONG.strip() not in main_text(page)
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<div></x>" * 100_000, "<p><b>" * 50_000 + "x", "<ul><li>" * 50_000, "<b>" * 100_000 + "<p>x" * 1000])
+def test_deep_pages_take_linear_time(page):
+    began = time.process_time()
+    assert main_text(page).startswith("x" if "x" in page.replace("</x>", "") else "")
+    assert time.process_time() - began < 4  # quadratic time would be minutes
+
+
 def test_pages_of_all_kinds(spark):
-    rows = [(1, "u", None), (2, None, ""), (3, "u", "<article><p>cut off in the mid"), (4, "u", "plain text"), (5, "u", "<<<>>> <p <b"), (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
-    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    rows = [(1, "u", None), (2, None, ""), (3, "u", "<article><p>cut off in the mid"), (4, "u", "plain text"), (5, "u", "<<<>>> <p <b"), (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000), (7, "u", "plain text"), (7, "u", "plain text")]
+    df = spark.createDataFrame([(*r, "a", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    assert extract(df).count() == len(rows) and extract(df.limit(0)).count() == 0
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in extract(df).collect()}
     assert got[1] == got[2] == ("", 0) and got[3] == ("cut off in the mid", 18) and got[4] == ("plain text", 10) and got[6] == ("deep", 4)
