@@ -13,7 +13,7 @@ from glyphflow.llm.line_quality import keep_good
 from glyphflow.llm.minhash import one_of_each
 from glyphflow.llm.mixing import mixed
 from glyphflow.llm.queries import tokenizer
-from glyphflow.llm.shared import table, written
+from glyphflow.llm.shared import discard, table, written
 from glyphflow.llm.token_store import store_round_trip
 
 
@@ -58,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; the rows that the token store gives back."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{number}")
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{number}")
+        discard(before)
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import discard, written
 
 ROUNDS = 99
 
@@ -28,13 +28,14 @@ def small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node and component (the smallest node reachable) for every node that has an edge (u, v).
 
-    Each round is written to the shared folder; its size and a sum of hashes, one row, tell whether it changed anything.
+    Each round is written to the shared folder and the one before deleted; its size and a sum of hashes, one row, tell whether it changed anything.
     Edges that still change after ROUNDS rounds are an error: their labels would be those of parts of components.
     """
     edges = written(edges.where("u <> v").distinct(), "star-0")
     state = None
     for i in range(1, ROUNDS + 1):
-        edges = written(small_star(large_star(edges)), f"star-{i}")
+        before, edges = edges, written(small_star(large_star(edges)), f"star-{i}")
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -22,7 +23,9 @@ from tokenizers import Tokenizer
 
 #: Letters to every version of Unicode that are composed already and whose lower case is one of them.
 LATIN = re.compile(" ?([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)")
-MEMO_BYTES = 256 << 20
+MEMO_BYTES = 160 << 20
+#: Ids of texts of so many pieces are put together at once.
+TOGETHER = 1 << 18
 #: What an entry takes besides the characters of its piece and its ids.
 ENTRY_BYTES = 150
 #: Patterns of pre-tokenizers that the cuts are proven for.
@@ -160,7 +163,7 @@ class Memo:
         if len(self.at) * ENTRY_BYTES + 2 * self.letters + 4 * len(self.flat) >= self.most:
             self.old = self.at, self.begins, self.sizes, self.flat
             self.at, self.begins, self.sizes, self.flat, self.letters = {}, array("i"), array("i"), array("I"), 0
-        out = np.fromiter(map(self.at.get, pieces, repeat(-1)), np.int64, len(pieces))
+        out = np.fromiter(map(self.at.get, pieces, repeat(-1)), np.int32, len(pieces))
         for i in np.flatnonzero(out < 0).tolist():
             out[i] = self.add(pieces[i])
         return out
@@ -202,17 +205,26 @@ class Ids(Memo):
             return [t.id for t in self.model.tokenize(spelled(piece))]
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
-    def of(self, data: np.ndarray, offsets: np.ndarray, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts, one text's after the other's, each with the end id if there is one, and where each text's begin."""
+    def of(self, data: np.ndarray, offsets: np.ndarray, end: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ids of texts, some texts at a time: the first, the last + 1, their ids, one text's after the other's, each with
+        the end id if there is one, and where each text's begin."""
         pieces, at, first = distinct(data, offsets)
         entry = self.found(pieces)[at]
         begin, size = np.frombuffer(self.begins, np.int32)[entry], np.frombuffer(self.sizes, np.int32)[entry]
         flat = np.frombuffer(self.flat, np.uint32)
-        if end is not None:  # the end is one more piece of each text
-            begin, size = np.insert(begin, first[1:], len(flat)), np.insert(size, first[1:], 1)
-            first = first + np.arange(len(first))
-            flat = np.append(flat, np.uint32(end))
-        total = np.zeros(len(size) + 1, np.int64)
-        np.cumsum(size, out=total[1:])
-        place = np.int32 if total[-1] < 1 << 31 else np.int64
-        return flat[np.repeat((begin - total[:-1]).astype(place), size) + np.arange(total[-1], dtype=place)], total[first]
+        flat = np.append(flat, np.uint32(end or 0))
+        del at, entry
+        a, n = 0, len(offsets) - 1
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(first, first[a] + TOGETHER, "right")) - 1)
+            begins, sizes, edges = begin[first[a] : first[b]], size[first[a] : first[b]], first[a : b + 1] - first[a]
+            if end is not None:  # the end is one more piece of each text
+                begins, sizes = np.insert(begins, edges[1:], len(flat) - 1), np.insert(sizes, edges[1:], 1)
+                edges = edges + np.arange(len(edges))
+            total = np.zeros(len(sizes) + 1, np.int64)
+            np.cumsum(sizes, out=total[1:])
+            place = np.int32 if total[-1] < 1 << 31 else np.int64
+            where = np.repeat((begins - total[:-1]).astype(place), sizes)
+            where += np.arange(total[-1], dtype=place)
+            yield a, b, flat[where], total[edges]
+            a = b

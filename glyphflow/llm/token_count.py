@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from .hashing import slices
 from .pieces import Counts, load
+from .shared import remembers
 
 #: Texts of more characters are huge: cut into chunks of so many, each with so many of the next.
 CHUNK = 8192
@@ -99,6 +100,9 @@ def counter(path: str) -> Counts:
     return Counts(load(path))
 
 
+remembers(counter.cache_clear)
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", limit: int = 2048, huge: int = CHUNK) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit, a row for each row of docs; tokenizer: the path of a .json file.
 

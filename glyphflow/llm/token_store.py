@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .files import reader, writer
 from .hashing import slices
 from .pieces import Ids, load
-from .shared import new_folder, written
+from .shared import discard, new_folder, remembers, written
 
 #: The id that ends a document.
 END = 0
@@ -98,6 +98,9 @@ def encoder(path: str) -> Ids:
     return Ids(load(path))
 
 
+remembers(encoder.cache_clear)
+
+
 def encoded(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFrame:
     """doc_id, body_hash, n_tokens, digests, sizes (ids in each chunk) and ids (bytes) of every document."""
     width = "<u2" if load(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
@@ -106,16 +109,16 @@ def encoded(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFram
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, k = encoder(tokenizer), int(width[-1])
         for batch in batches:
-            for a, b, words, offsets in slices(batch.column(2), SLICE):
-                ids, begins = ids_of.of(words, offsets, END)
-                packed = ids.astype(width).tobytes()
-                places, rows = cut_places(ids), []
-                for (at, to), (first, last) in zip(pairwise(begins.tolist()), pairwise(np.searchsorted(places, begins, "right").tolist()), strict=True):
-                    ends = cuts(places[first:last] - at, to - at)
-                    edges = [0, *ends]
-                    rows.append((to - at, [hashlib.sha256(packed[(at + x) * k : (at + y) * k]).digest() for x, y in pairwise(edges)], [y - x for x, y in pairwise(edges)], packed[at * k : to * k]))
-                named = [batch.column(i).slice(a, b - a) for i in range(2)]
-                yield pa.RecordBatch.from_arrays([*named, *(pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), fields[2:], strict=True))], schema=pa.schema(fields))
+            for start, _, words, offsets in slices(batch.column(2), SLICE):
+                for a, b, ids, begins in ids_of.of(words, offsets, END):
+                    packed = ids.astype(width).tobytes()
+                    places, rows = cut_places(ids), []
+                    for (at, to), (first, last) in zip(pairwise(begins.tolist()), pairwise(np.searchsorted(places, begins, "right").tolist()), strict=True):
+                        ends = cuts(places[first:last] - at, to - at)
+                        edges = [0, *ends]
+                        rows.append((to - at, [hashlib.sha256(packed[(at + x) * k : (at + y) * k]).digest() for x, y in pairwise(edges)], [y - x for x, y in pairwise(edges)], packed[at * k : to * k]))
+                    named = [batch.column(i).slice(start + a, b - a) for i in range(2)]
+                    yield pa.RecordBatch.from_arrays([*named, *(pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), fields[2:], strict=True))], schema=pa.schema(fields))
 
     kind = docs.schema[doc_id].dataType
     out = docs.select(F.col(doc_id).cast("string"), F.xxhash64(F.col(text)), F.col(text)).mapInArrow(encode, "doc_id string, body_hash long, n_tokens long, digests array<binary>, sizes array<int>, ids binary")
@@ -237,6 +240,7 @@ def write_store(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
 
     made = ordered.mapInArrow(pack_up, "pack string, place long, doc_id string, body_hash long, n_tokens long, digests array<binary>, sizes array<int>, root binary, index array<struct<digest:binary,frame:long,frame_bytes:long,at:long,n_bytes:long>>")
     made = written(made, "token-recipes")
+    discard(all_ids)
     index = made.where("place is null").select("pack", F.explode("index").alias("x")).select("pack", "x.*")
     recipes = made.where("place is not null").drop("index").withColumn("doc_id", F.col("doc_id").cast(kind))
     # Starts: sums over packs, in the order of their first document, then within each pack. One row for each pack is ordered.
