@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,8 +64,16 @@ def slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int, np.n
         a = b
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each lower-cased (A-Z) word between ASCII white space, and for each text the place of its first word."""
+#: Multipliers and first values of the two word hashes, and those of the two shingle hashes.
+_WORD = tuple(np.array(x, dtype=np.uint64) for x in ((0xD6E8FEB86659FD93, 0x2545F4914F6CDD1D), (0xC2B2AE3D27D4EB4F, 0x9E3779B185EBCA87)))
+_STEP = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
+#: Longer words are hashed one by one.
+LONG_WORD = 512
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent hashes of each lower-cased (A-Z) word between ASCII white space, and for each text the place of its
+    first word. A word goes through eight bytes at a time, each step a bijective finaliser; longer ones by BLAKE2."""
     data = LOWER[data]
     solid = ~IS_SPACE[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
@@ -75,32 +84,56 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     after = np.zeros(len(data) + 1, dtype=bool)
     after[: len(data)] = solid
     end = np.flatnonzero(solid & (~after[1:] | edge[1:])) + 1
-    h = mixed(span_hashes(prefix_hashes(data), begin, end) + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return h, np.searchsorted(begin, offsets)
-
-
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of each text's k-word shingles, one after the other, and where each text's begin.
+    size = end - begin
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    h = [mixed(size.astype(np.uint64) * k + first) for k, first in zip(*_WORD, strict=True)]
+    live = np.flatnonzero(size <= LONG_WORD)
+    j = 0
+    while len(live):
+        left = np.minimum(size[live] - j, 8)
+        x = eight[begin[live] + j] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left.astype(np.uint64)))
+        for k, out in zip(_WORD[0], h, strict=True):
+            out[live] = mixed((out[live] ^ x) * k)
+        j += 8
+        live = live[size[live] > j]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[0][i], h[1][i] = np.frombuffer(hashlib.blake2b(data[begin[i] : end[i]].tobytes(), digest_size=16).digest(), dtype="<u8")
+    return h[0], h[1], np.searchsorted(begin, offsets)
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's distinct k-word shingles, one text's after the other's, as two independent 64-bit hashes sorted by the
+    first and then by the second, and where each text's begin. A shingle is known by both, 128 bits.
 
     A text of fewer words, but not none, has its whole word sequence as its one shingle.
     """
-    h, first = word_hashes(data, offsets)
+    *h, first = word_hashes(data, offsets)
     n = np.diff(first)
-    step = np.uint64(0xA24BAED4963EE407)
     size = np.where(n >= k, n - k + 1, np.minimum(n, 1))
     begins = np.zeros(len(size) + 1, dtype=np.int64)
     np.cumsum(size, out=begins[1:])
     at = np.repeat(first[:-1] - begins[:-1], size) + np.arange(begins[-1])
     width = np.repeat(np.minimum(n, k), size)
-    acc = mixed(width.astype(np.uint64))
-    for j in range(k):
+    acc = [mixed(width.astype(np.uint64) + step) for step in _STEP]
+    for j in range(k if len(at) else 0):
         live = j < width
-        acc = np.where(live, mixed(acc * step + h[np.minimum(at + j, len(h) - 1)]), acc) if len(h) else acc
+        for i, step in enumerate(_STEP):
+            acc[i] = np.where(live, mixed(acc[i] * step + h[i][np.minimum(at + j, len(h[i]) - 1)]), acc[i])
+    x, y = acc
     for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
-        acc[a:b].sort()
-    new = np.ones(len(acc), dtype=bool)
-    new[1:] = acc[1:] != acc[:-1]
-    new[begins[:-1][size > 0]] = True
-    kept = np.zeros(len(acc) + 1, dtype=np.int64)
+        order = a + np.argsort(x[a:b])
+        x[a:b], y[a:b] = x[order], y[order]
+    alike = np.zeros(len(x), dtype=bool)
+    alike[1:] = x[1:] == x[:-1]
+    alike[begins[:-1][size > 0]] = False
+    clash = np.flatnonzero(alike[1:] & (y[1:] != y[:-1])) + 1
+    for t in np.unique(np.searchsorted(begins, clash, "right") - 1).tolist():  # one hash for two shingles: next to never
+        a, b = begins[t], begins[t + 1]
+        order = a + np.lexsort((y[a:b], x[a:b]))
+        x[a:b], y[a:b] = x[order], y[order]
+    new = ~alike
+    new[1:] |= y[1:] != y[:-1]
+    kept = np.zeros(len(x) + 1, dtype=np.int64)
     np.cumsum(new, out=kept[1:])
-    return acc[new], kept[begins]
+    return x[new], y[new], kept[begins]

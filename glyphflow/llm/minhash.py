@@ -15,22 +15,26 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import mixed, shingle_sets, slices
-from .shared import written
+from .shared import discard, forget, written
 
 ROWS, BANDS = 5, 40
 PERCENT = 80
 SURELY = 0.6
 SALTS = 16
 #: A hub's group is dealt over tasks in parts of so many members; unlinked members come in blocks of so many.
-PART, BLOCK = 8192, 1024
+PART, BLOCK = 8192, 8192
+#: A block's sets have so many shingles together, but for a longer one.
+BLOCK_ITEMS = 1 << 20
+SIGN = -(1 << 63)
 
 
 @lru_cache(maxsize=1)
@@ -59,50 +63,70 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def node(docs: DataFrame, doc_id: str, text: str) -> Column:
+    """What documents are known by: 16 bytes, id and hash of the text, in the order of the ids."""
+    half = lambda x: F.lpad(F.hex(x), 16, "0")
+    return F.unhex(F.concat(half(docs[doc_id].cast("long").bitwiseXOR(F.lit(SIGN))), half(F.xxhash64(docs[text]))))
+
+
+def id_of(key: Column) -> Column:
+    return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(SIGN))
+
+
 def sketched(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
-    """id, n (set size), f1 and f2 (fingerprint) and bands of every row with an id; f1, f2 and bands are null for empty sets."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    """id, node, n (set size), f1 and f2 (fingerprint) and bands of every row; f1, f2 and bands are null for empty sets."""
+    schema = pa.schema([("id", pa.int64()), ("node", pa.binary()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column(1)):
-                x, begins = shingle_sets(data, offsets, k)
+            for a, b, data, offsets in slices(batch.column(2)):
+                x, y, begins = shingle_sets(data, offsets, k)
                 n = np.diff(begins)
                 full = np.flatnonzero(n > 0)
                 f1, f2, bands = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64), np.zeros((b - a, BANDS), np.int64)
                 if len(full):
                     starts = begins[:-1][full]
                     f1[full] = np.add.reduceat(mixed(x), starts).view(np.int64)
-                    f2[full] = np.add.reduceat(mixed(x ^ np.uint64(0x5851F42D4C957F2D)), starts).view(np.int64)
+                    f2[full] = np.add.reduceat(mixed(y), starts).view(np.int64)
                     bands[full] = band_keys(signatures(x, starts))
                 none = n == 0
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(n), pa.array(f1, mask=none), pa.array(f2, mask=none), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a).cast(schema.types[i]) for i in range(2)), pa.array(n), pa.array(f1, mask=none), pa.array(f2, mask=none), lists], schema=schema)
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(sketch, "id long, n long, f1 long, f2 long, bands array<long>")
+    return docs.select(F.col(doc_id).cast("long"), node(docs, doc_id, text), F.col(text)).mapInArrow(sketch, "id long, node binary, n long, f1 long, f2 long, bands array<long>")
 
 
-def full_sets(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
-    """id, items (the set as bytes of sorted 64-bit hashes) and sig (its signature's low bytes) of every row."""
-    schema = pa.schema([("id", pa.int64()), ("items", pa.binary()), ("sig", pa.binary())])
+def full_sets(docs: DataFrame, k: int) -> DataFrame:
+    """key, items (the set as bytes: the first hashes of all shingles, then the second ones) and sig (its signature's low
+    bytes) of every row (key, text)."""
+    schema = pa.schema([("key", pa.int64()), ("items", pa.binary()), ("sig", pa.binary())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for a, b, data, offsets in slices(batch.column(1)):
-                x, begins = shingle_sets(data, offsets, k)
-                full = np.flatnonzero(np.diff(begins) > 0)
-                if len(full):
-                    sig = signatures(x, begins[:-1][full]).astype(np.uint8)
-                    ids = batch.column(0).slice(a, b - a).take(pa.array(full))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array([x[begins[i] : begins[i + 1]].tobytes() for i in full.tolist()], pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], schema=schema)
+                x, y, begins = shingle_sets(data, offsets, k)
+                sig = signatures(x, begins[:-1]).astype(np.uint8)  # no set is empty here
+                items = [x[i:j].tobytes() + y[i:j].tobytes() for i, j in pairwise(begins.tolist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(items, pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], schema=schema)
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(build, "id long, items binary, sig binary")
+    return docs.mapInArrow(build, "key long, items binary, sig binary")
+
+
+def items_of(data: pa.BinaryScalar) -> np.ndarray:
+    """A set as two rows of hashes."""
+    return np.frombuffer(data.as_buffer(), dtype=np.uint64).reshape(2, -1)
 
 
 def shared(ours: np.ndarray, theirs: np.ndarray) -> int:
-    """Size of the intersection of two sorted sets."""
-    at = np.searchsorted(theirs, ours)
-    return int(np.count_nonzero(theirs[np.minimum(at, len(theirs) - 1)] == ours))
+    """Size of the intersection of two sets, by both hashes of each shingle."""
+    at = np.minimum(np.searchsorted(theirs[0], ours[0]), theirs.shape[1] - 1)
+    hit = theirs[0][at] == ours[0]
+    both = hit & (theirs[1][at] == ours[1])
+    if (n := int(np.count_nonzero(both))) == int(np.count_nonzero(hit)):
+        return n
+    return len(set(zip(*ours.tolist(), strict=True)) & set(zip(*theirs.tolist(), strict=True)))  # a first hash of two shingles
 
 
 def linked(common, a, b, percent: int):
@@ -118,11 +142,11 @@ def compared(rows: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for h, m, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                own = np.frombuffer(data.as_buffer(), dtype=np.uint64)
+                own = items_of(data)
                 if m == h:
                     hub, items = h, own.copy()
                 elif h == hub:
-                    out.append((h, m, shared(own, items), len(items), len(own)))
+                    out.append((h, m, shared(own, items), items.shape[1], own.shape[1]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], schema=schema)
 
@@ -132,37 +156,40 @@ def compared(rows: DataFrame) -> DataFrame:
 def rest_links(rows: DataFrame, percent: int) -> DataFrame:
     """u, v of links that tie the unlinked members of a block to each other and to their group: a spanning set of them.
 
-    rows: hub, block, role (0: of the block, 1: of the group), id, j (similarity to the hub), link (to the hub), items, sig;
-    ordered so that a block's members come first. They are held; the group streams past. What is tied already is not
-    compared again, so no component loses a link that it needs.
+    rows: hub, block, part, role (0: of the block, 1: of the group's part), node, j (similarity to the hub), link (to the
+    hub), items, sig; ordered so that a block's members come first. They are held; the part streams past. What is tied
+    already is not compared again, so no component loses a link that it needs.
     """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
     far = 1 - percent / 100 + 1e-9
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, ready, label = None, [], None, None
+        key, held, ready, label, place = None, [], None, None, {}
         for batch in batches:
             out = []
-            cols = [batch.column(i) for i in range(8)]
-            for h, blk, role, i, j, link, items, sig in zip(*(c.to_pylist() for c in cols[:6]), cols[6], cols[7], strict=True):
-                if (h, blk) != key:
-                    key, held, ready = (h, blk), [], None
-                own, mark = np.frombuffer(items.as_buffer(), dtype=np.uint64), np.frombuffer(sig.as_buffer(), dtype=np.uint8)
+            cols = [batch.column(i) for i in range(9)]
+            for *here, role, i, j, link, items, sig in zip(*(c.to_pylist() for c in cols[:7]), cols[7], cols[8], strict=True):
+                if here != key:
+                    key, held, ready = here, [], None
+                own, mark = items_of(items), np.frombuffer(sig.as_buffer(), dtype=np.uint8)
                 if role == 0:
                     held.append((i, j, own.copy(), mark.copy()))
                     continue
                 if not held:
                     continue
                 if ready is None:
-                    ready = np.array([x[0] for x in held]), np.array([x[1] for x in held]), np.array([len(x[2]) for x in held]), np.stack([x[3] for x in held])
+                    ready = np.array([x[1] for x in held]), np.array([x[2].shape[1] for x in held]), np.stack([x[3] for x in held])
+                    place = {x[0]: at for at, x in enumerate(held)}
                     label = np.arange(len(held))  # components in the block; -1 is the hub's
-                ids, js, sizes, marks = ready
-                n = len(own)
-                at = np.flatnonzero(ids == i)
-                tied = -1 if link else int(label[at[0]]) if len(at) else None
-                may = (np.abs(js - j) <= far) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)) & (ids != i)
+                js, sizes, marks = ready
+                n = own.shape[1]
+                me = place.get(i)
+                tied = -1 if link else int(label[me]) if me is not None else None
+                may = (np.abs(js - j) <= far) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
                 if tied is not None:
                     may &= label != tied
+                if me is not None:
+                    may[me] = False
                 for at in np.flatnonzero(may)[(marks[may] == mark).mean(axis=1) >= SURELY].tolist():
                     if label[at] == tied:
                         continue
@@ -180,59 +207,78 @@ def rest_links(rows: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(check, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, class_id, component_id and kept for each row of docs.
-
-    Sets are of k-word shingles (fewer words: the sequence as one). class_id is the smallest id with the same set,
-    component_id the smallest id reachable by links of percent or more. Null, empty and blank texts are linked with nothing:
-    components of their own. Rows without an id are linked with nothing, too, and have null class and component. Rows that
-    share an id are judged by their texts, each; doc_id must be integral. No rows give no rows.
-    """
+def classified(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
+    """id, node, n, rep (the smallest node with the same set) and component (the smallest node reachable) of each row; rep
+    and component are null for rows without an id."""
     sketches = written(sketched(docs, doc_id, text, k), "near-sketches")
-    classes = sketches.where("id is not null and n > 0").groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
-    firsts = classes.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "rep")
-    reps = sketches.join(firsts, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.col("id") == F.col("rep")))
-    entries = reps.select("rep", F.explode("bands").alias("band"))
-    hubs = entries.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select(F.col("band").alias("b"), "hub")
-    groups = written(entries.join(hubs, F.col("band") == F.col("b")).where("rep <> hub").select("hub", F.col("rep").alias("member")).distinct(), "near-groups")
+    classes = sketches.where("node is not null and n > 0").groupBy("f1", "f2").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("size"))
+    # a class goes by a number, which the file fixes
+    classes = written(classes.withColumn("key", F.monotonically_increasing_id()).select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "rep", "size", "key"), "near-classes")
+    reps = sketches.join(classes.drop("size"), (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.col("node") == F.col("rep")))
+    entries = reps.select("key", F.explode("bands").alias("band"))
+    hubs = entries.groupBy("band").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub < last").select(F.col("band").alias("b"), "hub")
+    groups = written(entries.join(hubs, F.col("band") == F.col("b")).where("key <> hub").select("hub", F.col("key").alias("member")).distinct(), "near-groups")
     sizes = groups.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    members = groups.select(F.col("member").alias("id")).unionByName(groups.select(F.col("hub").alias("id"))).distinct()
+    members = groups.select(F.col("member").alias("m")).unionByName(groups.select(F.col("hub").alias("m"))).distinct()
     # the members grow with the corpus: never broadcast, at any size
-    wanted = docs.join(members.hint("merge"), F.col(doc_id).cast("long") == members["id"], "left_semi")
-    sets = written(full_sets(wanted, doc_id, text, k), "near-sets")
+    wanted = classes.select("rep", "key").join(members.hint("merge"), F.col("key") == F.col("m"), "left_semi")
+    keyed = docs.select(node(docs, doc_id, text).alias("node"), docs[text].alias("text"))
+    texts = keyed.join(wanted.hint("merge"), F.col("node") == F.col("rep")).select("key", "text", "node").dropDuplicates(["node"]).select("key", "text")
+    sets = written(full_sets(texts, k), "near-sets")
     dealt = groups.join(sizes, "hub").select("hub", "member", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("salt"))
     dealt = dealt.unionByName(sizes.select("hub", F.col("hub").alias("member"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")))
-    rows = dealt.join(sets, dealt["member"] == sets["id"]).select("hub", "member", "items", "salt")
+    rows = dealt.join(sets, dealt["member"] == sets["key"]).select("hub", "member", "items", "salt")
     rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("member") != F.col("hub"), "member").select("hub", "member", "items")
-    star = written(compared(rows), "near-stars")
-    star = star.withColumn("union", F.col("n_hub") + F.col("n") - F.col("common")).withColumn("link", 100 * F.col("common") >= percent * F.col("union"))
-    # The rest: members that aren't linked to their hub, in blocks, against their group.
-    j = star.select("hub", F.col("member").alias("m"), (F.col("common") / F.col("union")).alias("j"), "link")
+    stars = written(compared(rows), "near-stars")
+    star = stars.withColumn("union", F.col("n_hub") + F.col("n") - F.col("common")).withColumn("link", 100 * F.col("common") >= percent * F.col("union"))
+    # The rest: members that aren't linked to their hub, in blocks, against the parts of their group.
+    j = star.select("hub", F.col("member").alias("m"), "n", (F.col("common") / F.col("union")).alias("j"), "link")
     alone = j.where(~F.col("link"))
-    blocks = alone.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("j").alias("low"), F.max("j").alias("high"), F.count(F.lit(1)).alias("unlinked"))
+    blocks = alone.groupBy("hub").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_ITEMS, F.count(F.lit(1)) / BLOCK)).cast("int").alias("blocks"), F.min("j").alias("low"), F.max("j").alias("high"))
+    blocks = blocks.join(sizes, "hub")
     far = 1 - percent / 100 + 1e-9
     near = j.join(blocks, "hub").where(F.col("j").between(F.col("low") - far, F.col("high") + far))
-    sides = near.where(~F.col("link")).select("hub", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "m", "j", "link")
-    sides = sides.unionByName(near.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "m", "j", "link"))
-    rows = sides.join(sets, sides["m"] == sets["id"]).select("hub", "block", "role", "m", "j", "link", "items", "sig")
-    rows = rows.repartition("hub", "block").sortWithinPartitions("hub", "block", "role", "m")
+    each = lambda n, name: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(name)
+    of = lambda n, name: F.pmod(F.xxhash64("m"), F.col(n)).cast("int").alias(name)
+    sides = near.where(~F.col("link")).select("hub", of("blocks", "block"), each("parts", "part"), F.lit(0).alias("role"), "m", "j", "link")
+    sides = sides.unionByName(near.select("hub", each("blocks", "block"), of("parts", "part"), F.lit(1).alias("role"), "m", "j", "link"))
+    rows = sides.join(sets, sides["m"] == sets["key"]).select("hub", "block", "part", "role", "m", "j", "link", "items", "sig")
+    rows = rows.repartition("hub", "block", "part").sortWithinPartitions("hub", "block", "part", "role", "m")
     links = star.where("link").select(F.col("hub").alias("u"), F.col("member").alias("v")).unionByName(rest_links(rows, percent))
-    labels = written(components(links), "near-labels")
-    # Classes of several rows are few: their label comes by fingerprint, salted; all others by id.
-    many = classes.where("size > 1").join(labels, F.col("rep") == F.col("node"), "left").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "rep", F.coalesce("component", "rep").alias("label"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
-    out = sketches.select("id", "n", "f1", "f2").join(many, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.pmod(F.xxhash64("id"), F.lit(SALTS)) == F.col("s")) & F.col("id").isNotNull(), "left")
-    out = out.join(labels, (F.col("id") == F.col("node")) & (F.col("n") > 0), "left")
-    component = F.coalesce("label", "component", "id")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("rep", "id").alias("class_id"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    labels = components(links).join(classes.select("key", F.col("rep").alias("own")), F.col("node") == F.col("key"))
+    labels = written(labels.select("component", "own"), "near-labels")
+    discard(groups, sets, stars)
+    least = labels.groupBy("component").agg(F.min("own").alias("least")).select(F.col("component").alias("c"), "least")
+    labels = labels.join(least, F.col("component") == F.col("c")).select("own", "least")
+    # Classes of several rows are few: their label comes by fingerprint, salted; all others by node.
+    many = classes.where("size > 1").join(labels, F.col("rep") == F.col("own"), "left").select("g1", "g2", "rep", F.coalesce("least", "rep").alias("label"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+    out = sketches.select("id", "node", "n", "f1", "f2").join(many, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.pmod(F.xxhash64("node"), F.lit(SALTS)) == F.col("s")) & F.col("node").isNotNull(), "left")
+    out = out.join(labels, F.col("node") == F.col("own"), "left")
+    return out.select("id", "node", "n", F.coalesce("rep", "node").alias("rep"), F.coalesce("label", "least", "node").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, class_id, component_id and kept for each row of docs.
+
+    Sets are of k-word shingles (fewer words: the sequence as one). class_id is the smallest id with the same set,
+    component_id the smallest id reachable by links of percent or more. Null, empty and blank texts are linked with nothing:
+    components of their own. Rows without an id are linked with nothing, too, and have null class and component. Rows that
+    share an id are judged by their texts, each; doc_id must be integral. No rows give no rows. Other columns of docs are
+    not looked at, whatever their names.
+    """
+    out = classified(docs, doc_id, text, k, percent)
+    component = id_of(F.col("component"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), id_of(F.col("rep")).alias("class_id"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
-    """docs without the documents of a component that aren't its smallest id; docs' own columns.
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = PERCENT) -> DataFrame:
+    """docs without the documents of a component that aren't its first: that of the smallest id, and of several texts of
+    that id the one of least hash. docs' own columns.
 
-    Of rows that share an id one stays, the first by all columns. Rows without an id all stay.
+    Of rows that share id and text one stays, the first by all columns. Rows without an id all stay. Null, empty and blank
+    texts stay, one row for each id and text. No rows give no rows.
     """
-    kept = near_duplicates(docs, doc_id, text, **how).where("kept and doc_id is not null").select(F.col("doc_id").alias("_k")).distinct()
-    keyed = docs.withColumn("_id", F.col(doc_id).cast("long"))
-    rank = F.row_number().over(Window.partitionBy("_id").orderBy(*(F.col(c) for c in docs.columns)))
-    own = keyed.join(kept, F.col("_id") == F.col("_k"), "left_semi").withColumn("_rank", rank).where("_rank = 1")
-    return own.select(*docs.columns).unionByName(docs.where(F.col(doc_id).isNull()))
+    kept = classified(docs, doc_id, text, k, percent).where("node = component").select(F.col("node").alias("k")).distinct()
+    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), node(docs, doc_id, text).alias("node"))
+    first = keyed.where("node is not null").join(kept, F.col("node") == F.col("k"), "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+    return first.select("row.*").unionByName(docs.where(docs[doc_id].isNull()))
