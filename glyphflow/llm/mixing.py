@@ -14,10 +14,10 @@ from bisect import bisect
 from itertools import product
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import ascii_words, written
+from .shared import ascii_words, forget, written
 
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
@@ -102,7 +102,8 @@ def landing(sizes: list[float], p: list[float], left: list[int]) -> None:
 
 def decided(frame: pd.DataFrame) -> pd.DataFrame:
     """One group's flight, with the landing if it is its source's only group. Ordered by hash, so that reruns agree."""
-    frame = frame.sort_values(["_order", "size"], kind="stable", ignore_index=True)
+    forget()
+    frame = frame.sort_values(["_order", "size", "key"], kind="stable", ignore_index=True)
     sizes, p = frame["size"].astype(float).tolist(), frame["p"].tolist()
     first = frame.iloc[0]
     left = flight(sizes, p, random.Random(f"{SEED}/{first['source']}/{first['_group']}/{first['_level']}"))
@@ -115,10 +116,17 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """doc_id, body_hash, size, source, source_size, target, times and taken for each row of docs.
 
     Null or empty texts have size 0 and are taken 0 words; their times are their source's whole repeats and what the cube
-    gives. Null is a source. Equal rows are rows of their own. What goes to the driver is a row for each source.
+    gives. Null is a source. Equal rows are rows of their own. No rows give no rows. Other columns of docs are not looked
+    at, whatever their names. What goes to the driver is a row for each source.
     """
+    body = F.xxhash64(docs[text])
+    return planned(docs.select(docs[doc_id].alias("doc_id"), body.alias("body_hash"), body.alias("key"), docs[text].alias("text"), docs[source].alias("source")), group).drop("key")
+
+
+def planned(docs: DataFrame, group: int) -> DataFrame:
+    """What mix gives, for doc_id, body_hash, key, text and source; with the key, which orders rows of one id and text."""
     spark: SparkSession = docs.sparkSession
-    sized = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("body_hash"), F.size(ascii_words(F.col(text))).cast("long").alias("size"), F.col(source).cast("string").alias("source"))
+    sized = docs.select("doc_id", "body_hash", "key", F.size(ascii_words(F.col("text"))).cast("long").alias("size"), F.col("source").cast("string").alias("source"))
     sized = written(sized, "mix-sizes")
     totals = [(r["source"], r["size"], r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()]
     wanted = targets([(s, n) for s, n, _ in totals])
@@ -144,18 +152,19 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         groups = F.ceil(2 * F.col("_groups") / group).cast("int")
         rows = rows.where("p > 0 and p < 1").withColumn("_groups", groups).withColumns({"_group": F.pmod("_order", F.col("_groups")).cast("int"), "_level": F.lit(level)})
     times = (F.col("whole") + F.col("p")).cast("int")
-    return settled.select("doc_id", "body_hash", "size", "source", "source_size", "target", times.alias("times"), (F.col("size") * times).alias("taken"))
+    return settled.select("doc_id", "body_hash", "key", "size", "source", "source_size", "target", times.alias("times"), (F.col("size") * times).alias("taken"))
 
 
-def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **names: str) -> DataFrame:
-    """docs with each row as many times as the mix takes it; docs' own columns."""
-    plan = mix(docs, doc_id, text, **names).groupBy("doc_id", "body_hash").agg(F.sum("times").alias("_times")).where("_times > 0")
-    plan = plan.select(F.col("doc_id").alias("_k"), F.col("body_hash").alias("_b"), "_times")
-    both = docs.withColumn("_body", F.xxhash64(text)).join(plan, F.col(doc_id).eqNullSafe(F.col("_k")) & (F.col("_body") == F.col("_b")))
+def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", group: int = GROUP) -> DataFrame:
+    """docs with each row as many times as the mix takes it; docs' own columns, of any names.
 
-
-    same = Window.partitionBy("_k", "_b")
-    rank, n = F.row_number().over(same.orderBy(*(F.col(c) for c in docs.columns))), F.count(F.lit(1)).over(same)
-    both = both.withColumns({"_rank": rank, "_n": n})
-    own = (F.floor(F.col("_times") / F.col("_n")) + (F.col("_rank") <= F.col("_times") % F.col("_n")).cast("long")).cast("int")
-    return both.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), own))).select(*docs.columns)
+    Rows that are equal in every column share their copies: what the mix takes of each of them is added up. Null or empty
+    texts come as often as their source's whole repeats and the cube say. No rows give no rows. Columns must be hashable.
+    """
+    whole = F.xxhash64(*(docs[c] for c in docs.columns))
+    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[doc_id].alias("id"), whole.alias("hash"))
+    plan = planned(docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("body_hash"), whole.alias("key"), docs[text].alias("text"), docs[source].alias("source")), group)
+    plan = plan.groupBy("doc_id", "key").agg(F.sum("times").alias("times")).where("times > 0")
+    rows = keyed.groupBy("id", "hash").agg(F.first("row").alias("row"))
+    both = rows.join(plan, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("key")))
+    return both.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")

@@ -107,6 +107,73 @@ def test_near_duplicates_of_nothing_and_without_ids(spark, docs):
     assert sorted((r["doc_id"] or 0) for r in one_of_each(df.unionByName(df)).collect()) == [0, 0, 1, 3]
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    rng = random.Random(5)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(5, a), (5, b), (7, a + " end"), (9, b + " end"), (2, c), (2, c), (2, a), (-3, c + " end")]
+    df = spark.createDataFrame([(*r, "x", i) for i, r in enumerate(rows)], "doc_id long, text string, node string, row long")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(df).collect())
+    assert got == [(-3, -3, True), (2, -3, False), (2, -3, False), (2, 2, True), (5, 2, False), (5, 5, True), (7, 2, False), (9, 5, False)]
+    left = one_of_each(df)
+    assert left.columns == df.columns and sorted((r["doc_id"], r["text"]) for r in left.collect()) == sorted([(-3, c + " end"), (2, a), (5, b)])
+
+
+def test_words_of_equal_polynomial_hash_are_not_linked(spark):
+    # a sequence and its complement have equal polynomial hashes modulo 2**64 from 1,024 letters on
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, word), (2, other), (3, f"{word} x {other} x"), (4, "q " + word[:600]), (5, "q " + other[:600])], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(df, k=1).collect())
+    assert got == [(1, 1, 1), (2, 1, 2), (3, 3, 3), (4, 2, 4), (5, 2, 5)]
+
+
+def test_sets_know_their_shingles_by_both_hashes(monkeypatch):
+    import numpy as np
+
+    from glyphflow.llm import hashing, minhash
+
+    plain = hashing.word_hashes
+    monkeypatch.setattr(hashing, "word_hashes", lambda data, offsets: (lambda h: (np.zeros_like(h[0]), *h[1:]))(plain(data, offsets)))
+    texts = ["a b c d a b", "a b c d", "d c b", ""]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])
+    x, y, begins = hashing.shingle_sets(data, offsets, 1)
+    sets = [np.stack([x[a:b], y[a:b]]) for a, b in zip(begins, begins[1:], strict=False)]
+    assert [s.shape[1] for s in sets] == [4, 4, 3, 0] and len(set(x.tolist())) == 1
+    assert minhash.shared(sets[2], sets[0]) == 3 and minhash.shared(sets[0], sets[2]) == 3 and (sets[0] == sets[1]).all()
+
+
+@pytest.mark.parametrize("part,block,items", [(3, 2, 1 << 20), (8192, 8192, 900)])
+def test_large_groups_are_dealt_over_tasks(spark, monkeypatch, part, block, items):
+    """Chains of copies that differ by a few words each, so that groups have members that aren't linked to their hub."""
+    for name, value in (("PART", part), ("BLOCK", block), ("BLOCK_ITEMS", items)):
+        monkeypatch.setattr(f"glyphflow.llm.minhash.{name}", value)
+    rng, texts = random.Random(6), []
+    for _ in range(4):
+        words = prose(rng, 150).split()
+        for _ in range(40):
+            for _ in range(rng.choice([1, 4, 9])):
+                words[rng.randrange(len(words))] = rng.choice(VOCABULARY)
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+    group = linked_groups([shingles(t, 2) for t in texts])
+    least = {g: group.index(g) for g in group}
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k=2).collect()}
+    assert got == {i: least[g] for i, g in enumerate(group)} and 4 < len(least) < 150
+
+
+def test_links_are_those_of_all_pairs(spark):
+    """Recall against all pairs on the driver's smallest documents: every id divisible by 20 has the component that all pairs give."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    group = linked_groups([shingles(t, 2) for _, t in rows])
+    least = {}
+    for (i, _), g in zip(rows, group, strict=True):
+        least.setdefault(g, i)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, k=2).collect()}
+    assert [got[i] for i, _ in rows if i % 20 == 0] == [least[g] for (i, _), g in zip(rows, group, strict=True) if i % 20 == 0]
+    assert got == {i: least[g] for (i, _), g in zip(rows, group, strict=True)}
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]
@@ -311,6 +378,69 @@ def test_mix(docs, rows, group):
     assert mix(docs.limit(0)).count() == 0
 
 
+def plain_targets(sizes):
+    """Water-filling by the contract's words: what is above three times its size goes to the others by weight."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    out, total = {s: 0.0 for s in order}, float(sum(sizes.values()))
+    capped = set()
+    while True:
+        left, free = total - sum(3.0 * sizes[s] for s in capped), [s for s in order if s not in capped]
+        out = {s: 3.0 * sizes[s] if s in capped else left * weight[s] / sum(weight[x] for x in free) for s in order}
+        above = {s for s in free if out[s] > 3 * sizes[s]}
+        if not above:
+            return out
+        capped |= above
+
+
+@pytest.mark.parametrize("counts", [{"b": 40, "a": 2, None: 30}, {"a": 1}, {"é": 5, "z": 60, "Z": 3, "": 9, None: 1, "m": 20, "n": 20}])
+def test_mix_equals_plain_targets(spark, counts):
+    rng = random.Random(len(counts))
+    rows = [(i, prose(rng, rng.randint(0, 60)), s) for i, s in enumerate(s for s, n in counts.items() for _ in range(n))] + [(9999, None, next(iter(counts)))]
+    words = {i: len(WORD.findall(t or "")) for i, t, _ in rows}
+    sizes = defaultdict(int)
+    for i, _, s in rows:
+        sizes[s] += words[i]
+    want = plain_targets(sizes)
+    got = mix(spark.createDataFrame([(*r, 1.5, "x") for r in rows], "doc_id long, text string, source string, target double, size string")).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(words)
+    taken = Counter()
+    for r in got:
+        s = r["source"]
+        assert r["size"] == words[r["doc_id"]] and r["source_size"] == sizes[s] and abs(r["target"] - want[s]) < 1e-6
+        assert r["taken"] == r["times"] * r["size"] <= 3 * r["size"] and r["times"] in (int(want[s] / max(1, sizes[s]) + 1e-9), int(want[s] / max(1, sizes[s]) + 1e-9) + 1)
+        taken[s] += r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 0.02 * want[s] + 30 for s in sizes)
+
+
+CLASHING = ("_id", "_k", "_b", "_rank", "_n", "_body", "_times", "_copy", "row", "hash", "id", "times", "body_hash", "node", "k", "key", "rep")
+
+
+@pytest.mark.parametrize("stage", [one_of_each, mixed, keep_good, lambda df: uncontaminated(df, df.sparkSession.createDataFrame([(1, "no such words at all")], "item_id long, text string"))])
+def test_stages_keep_columns_of_any_name(spark, rows, stage):
+    schema = "doc_id long, text string, source string, lang string, " + ", ".join(f"{c} string" for c in CLASHING)
+    df = spark.createDataFrame([(*r, "en", *(f"{c}{r[0]}" for c in CLASHING)) for r in rows], schema).repartition(3)
+    out = stage(df)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert got and all(r[c] == f"{c}{r['doc_id']}" for r in got for c in CLASHING)
+    assert stage(df.limit(0)).count() == 0
+
+
+def test_mixed_takes_what_the_mix_says(spark, rows):
+    df = spark.createDataFrame([(*r, i % 2) for i, r in enumerate(rows + rows[:6])], "doc_id long, text string, source string, n int")
+    got, plan = Counter(r["doc_id"] for r in mixed(df).collect()), Counter()
+    for r in planned_times(df):
+        plan[r["doc_id"]] += r["times"]
+    assert got == Counter({k: v for k, v in plan.items() if v})
+
+
+def planned_times(df):
+    from glyphflow.llm.mixing import GROUP, planned
+
+    return planned(df.select("doc_id", F.xxhash64("text").alias("body_hash"), F.xxhash64(*df.columns).alias("key"), "text", "source"), GROUP).collect()
+
+
 def test_pipeline_equals_brute_force(spark, tmp_path, rows):
     import corpus_pipeline
 
