@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 
 #: Letters to every version of Unicode that are composed already and whose lower case is one of them.
 LATIN = re.compile(" ?([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)")
-MEMO_BYTES = 160 << 20
+MEMO_BYTES = 320 << 20
 #: Ids of texts of so many pieces are put together at once.
 TOGETHER = 1 << 18
 #: What an entry takes besides the characters of its piece and its ids.

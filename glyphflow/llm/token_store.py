@@ -41,6 +41,8 @@ WINDOW = 16
 #: A cut after one id in so many, and chunks of so many ids at least and at most.
 MEAN, LEAST, MOST = 1024, 256, 8192
 FRAME = 1 << 17
+#: A pack ends after so many bytes, or documents of so many chunks, so that what its writer and its reader hold is bounded.
+PACK_BYTES, PACK_CHUNKS = 256 << 20, 1 << 18
 #: Texts are encoded together up to so many bytes; a longer one alone.
 SLICE = 8 << 20
 GEAR_SEED = 7
@@ -187,7 +189,8 @@ INDEX = "digest binary, pack string, frame long, frame_bytes long, at long, n_by
 
 def write_store(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> dict[str, DataFrame]:
     """Writes the store; returns its recipes, index and manifest. Null texts are empty: the end id alone. Null ids come
-    first; rows of one id are ordered by their text's hash, and equal rows share all their chunks."""
+    first; rows of one id are ordered by their text's hash, and equal rows share all their chunks. No rows make no packs.
+    Other columns of docs are not looked at, whatever their names."""
     spark = docs.sparkSession
     folder = new_folder(spark, "token-store")
     kind = docs.schema[doc_id].dataType
@@ -208,34 +211,42 @@ def write_store(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
     schema = pa.schema([("pack", pa.string()), ("place", pa.int64()), ("doc_id", pa.string()), ("body_hash", pa.int64()), ("n_tokens", pa.int64()), ("digests", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())), ("root", pa.binary()), ("index", pa.list_(entry))])
 
     def pack_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, place, foreign, of = None, 0, frozenset(), None
+        pack, place, chunks, foreign, of = None, 0, 0, frozenset(), None
         rows: list[tuple] = []
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
+        def closed(pack: Pack) -> Iterator[tuple]:
+            pack.close()
+            for a in range(0, len(pack.index), 5000):
+                yield (pack.name, *[None] * 7, [{"digest": d, "frame": f, "frame_bytes": n, "at": at, "n_bytes": size} for d, _, f, n, at, size in pack.index[a : a + 5000]])
+
         for batch in batches:
-            pack = pack or Pack(folder)
             for key, body, kind_, n, digests, sizes, ids in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 if kind_ == 0:
                     foreign, of = frozenset(digests), (key, body)
                     continue
                 if of != (key, body):
                     foreign, of = frozenset(), (key, body)
+                if pack is not None and (pack.offset >= PACK_BYTES or chunks >= PACK_CHUNKS):
+                    rows += closed(pack)
+                    pack = None
+                if pack is None:
+                    pack, place, chunks = Pack(folder), 0, 0
                 at = 0
                 for d, size in zip(digests, sizes, strict=True):
                     if d not in foreign:
                         pack.add(d, ids[at : at + size * width])
                     at += size * width
                 rows.append((pack.name, place, key, body, n, digests, sizes, merkle(digests), None))
-                place += 1
+                place, chunks = place + 1, chunks + len(digests)
             if len(rows) > 5000:
                 yield batch_of(rows)
                 rows = []
         if pack is not None:
-            pack.close()
-            for a in range(0, len(pack.index), 5000):
-                rows.append((pack.name, None, None, None, None, None, None, None, [{"digest": d, "frame": f, "frame_bytes": n, "at": at, "n_bytes": size} for d, _, f, n, at, size in pack.index[a : a + 5000]]))
+            rows += closed(pack)
+        if rows:
             yield batch_of(rows)
 
     made = ordered.mapInArrow(pack_up, "pack string, place long, doc_id string, body_hash long, n_tokens long, digests array<binary>, sizes array<int>, root binary, index array<struct<digest:binary,frame:long,frame_bytes:long,at:long,n_bytes:long>>")
