@@ -11,7 +11,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 import pyarrow as pa
@@ -25,7 +25,8 @@ from .shared import new_folder, written
 LEAST_REVISIT = 100
 SALTS = 16
 FILE_BYTES = 256 << 20
-BLOCK = 1 << 20
+#: What follows a record in a block is copied, so blocks are small.
+BLOCK = 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -41,11 +42,11 @@ def member(page_id: str | None, url: str | None, payload: bytes, digest: str, re
     if url is not None:
         head.append(f"WARC-Target-URI: {quote(url, safe='%/:=&?~#+!$,;@()*[]')}")
     if page_id is not None:
-        head.append(f"X-Page-ID: {page_id}")
+        head.append(f"X-Page-ID: {quote(page_id)}")
     if revisit:
         head.append(f"WARC-Profile: {PROFILE}")
         if refers is not None:
-            head.append(f"X-Refers-To-Page-ID: {refers}")
+            head.append(f"X-Refers-To-Page-ID: {quote(refers)}")
     head += [f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     return packer.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
@@ -85,7 +86,8 @@ def parsed(record: bytes) -> dict:
     digest, n = fields["WARC-Payload-Digest"].removeprefix("sha256:"), int(stated["Content-Length"])
     if fields["WARC-Type"] == "response" and (len(payload) != n or hashlib.sha256(payload).hexdigest() != digest):
         raise WarcError("wrong payload length or digest")
-    return {"page_id": fields.get("X-Page-ID"), "url": fields.get("WARC-Target-URI"), "record_type": fields["WARC-Type"], "payload": payload, "payload_bytes": n, "payload_digest": digest, "refers_to": fields.get("X-Refers-To-Page-ID")}
+    page_id, refers = (None if (x := fields.get(f)) is None else unquote(x) for f in ("X-Page-ID", "X-Refers-To-Page-ID"))
+    return {"page_id": page_id, "url": fields.get("WARC-Target-URI"), "record_type": fields["WARC-Type"], "payload": payload, "payload_bytes": n, "payload_digest": digest, "refers_to": refers}
 
 
 def write_warc(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -155,7 +157,11 @@ def read_warc(manifest: DataFrame, payloads: bool = False) -> DataFrame:
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to as read back from archives of all pages."""
+    """page_id, payload_bytes, payload_digest, record_type and refers_to as read back from archives of all pages.
+
+    Null html is an empty payload; rows without an id have none; of equal rows one is the response. No pages give no rows.
+    Other columns of pages are not looked at, whatever their names.
+    """
     kind = pages.schema["page_id"].dataType
     back = read_warc(write_warc(pages, new_folder(spark, "warc")))
     return back.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))

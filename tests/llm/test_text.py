@@ -16,7 +16,7 @@ from glyphflow.llm.pieces import Counts, Ids, load
 from glyphflow.llm.queries import tokenizer
 from glyphflow.llm.shared import new_folder
 from glyphflow.llm.token_count import count_huge, count_tokens
-from glyphflow.llm.token_store import cut_places, cuts, merkle, store_round_trip
+from glyphflow.llm.token_store import cut_places, cuts, merkle, read_store, store_round_trip, write_store
 from glyphflow.llm.warc import WarcError, members, parsed, read_warc, round_trip, write_warc
 
 VOCABULARY = "the of and to in that is was he for it with as his on be at by had not extraordinary".split()
@@ -84,7 +84,7 @@ def test_a_text_without_white_space_is_spliced(counts):
     assert count_huge(Spy(), text, 2000, 64) == lib_counts(counts.tokenizer, [text])[0] and max(sizes) <= 2000 and len(sizes) > 15
 
 
-@pytest.mark.parametrize("huge", [50, 8192])
+@pytest.mark.parametrize("huge", [50, 16_384])
 def test_count_tokens(spark, huge):
     rng = random.Random(huge)
     texts = ["Hello world", None, "", "Hello world", "Bİ. " * 10, "日本。" * 90, *(strange(rng, (0, 5, 49, 50, 51, 300)) for _ in range(120))]
@@ -113,6 +113,23 @@ def test_store_round_trip(spark):
     assert store_round_trip(df.limit(0), tokenizer("byte_bpe_50k.json")).count() == 0
 
 
+def test_packs_roll(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(VOCABULARY) for _ in range(rng.randint(0, 600)))) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(20)] + [rows[3]] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plain = sorted(tuple(r) for r in store_round_trip(df, tokenizer("byte_bpe_50k.json")).collect())
+    monkeypatch.setattr("glyphflow.llm.token_store.PACK_CHUNKS", 5)
+    store = write_store(df, tokenizer("byte_bpe_50k.json"))
+    assert store["manifest"].count() > 10 and sorted(tuple(r) for r in read_store(store, 2).collect()) == plain
+
+
+def test_page_ids_of_any_kind(spark):
+    df = spark.createDataFrame([("a\r\nb: c", "u", "x" * 200), ("é %41", None, "x" * 200), (None, "u", "y")], "page_id string, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in round_trip(spark, df).collect()}
+    assert got == {"a\r\nb: c": ("response", None), "é %41": ("revisit", "a\r\nb: c"), None: ("response", None)}
+
+
 def test_chunks_and_merkle():
     import numpy as np
 
