@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ascii_words, let, written
+from .shared import SPACE, discard, let, written
 
 WORDS = 50
 SALTS = 16
@@ -31,18 +31,25 @@ def row_id(doc_id: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
+def marked(*parts: Column | str) -> tuple[Column, Column]:
+    """A name of 128 bits as the columns name and mark: lines and runs are told apart by both."""
+    return F.xxhash64(*parts).alias("name"), F.xxhash64(F.lit(7), *parts).alias("mark")
+
+
 def several(rows: DataFrame) -> DataFrame:
-    """rows (r, at, name) whose name occurs twice or more. Counts come from map-side sums; hot names are joined by salt."""
-    names = rows.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("name").alias("_name"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
-    return rows.join(names, (F.col("name") == F.col("_name")) & (F.pmod("r", F.lit(SALTS)) == F.col("_s"))).drop("_name", "_s")
+    """rows (r, at, name, mark) whose name occurs twice or more. Counts come from map-side sums; hot names are joined by
+    salt."""
+    names = rows.groupBy("name", "mark").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("name").alias("_name"), F.col("mark").alias("_mark"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
+    return rows.join(names, (F.col("name") == F.col("_name")) & (F.col("mark") == F.col("_mark")) & (F.pmod("r", F.lit(SALTS)) == F.col("_s"))).drop("_name", "_mark", "_s")
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """id, r (row id), at (number of the line among those with a word), name and n (words) of each line with a word."""
+    """id, r (row id), at (number of the line among those with a word), name, mark and n (words) of each line with a word."""
     solid = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(EDGE))), lambda x: x != "")
-    rows = docs.select(F.col(doc_id).alias("id"), row_id(doc_id, text).alias("r"), F.posexplode(solid).alias("at", "x"))
-    rows = rows.select("id", "r", F.col("at").cast("long").alias("at"), F.xxhash64("x").alias("name"), F.size(ascii_words(F.col("x"))).cast("long").alias("n"))
-    return rows.repartition("r").groupBy("r", "at").agg(*(F.min(c).alias(c) for c in ("id", "name", "n")))
+    # two steps: what stands beside a generator in one select is computed again for each of its rows
+    rows = docs.select(F.col(doc_id).alias("id"), row_id(doc_id, text).alias("r"), solid.alias("lines")).select("id", "r", F.posexplode("lines").alias("at", "x"))
+    rows = rows.select("id", "r", F.col("at").cast("long").alias("at"), *marked("x"), F.size(F.split("x", SPACE + "+")).cast("long").alias("n"))
+    return rows.repartition("r").groupBy("r", "at").agg(*(F.min(c).alias(c) for c in ("id", "name", "mark", "n")))
 
 
 def with_shortest(rows: DataFrame, words: int) -> DataFrame:
@@ -73,28 +80,33 @@ def line_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words
     Lines are compared without white space at their ends; lines without a word are in no run, but go if they lie inside a
     deleted one. Of equal runs the one in the smallest id stays, in one text the first. Null and empty texts have no lines
     and are kept as empty texts. Rows of equal id and text are one document: what is said of one is said of all. Null ids
-    come first.
+    come first. No rows give no rows. Other columns of docs are not looked at, whatever their names.
     """
-    first = written(several(with_shortest(lines_of(docs, doc_id, text), words)), "runs-0")
+    lines = written(with_shortest(lines_of(docs, doc_id, text), words), "runs-lines")  # texts are split once
+    first = written(several(lines), "runs-0")
+    discard(lines)
+    done = [first]
     runs = first.where("ahead is not null").select("id", "r", F.col("at").alias("from"), F.col("ahead").alias("len")).unionByName(first.where("behind is not null").select("id", "r", (F.col("at") - F.col("behind") + 1).alias("from"), F.col("behind").alias("len"))).distinct()
     runs = written(runs, "runs-wanted")
     longest = runs.agg(F.max("len")).first()[0] or 0
-    level, names, t = first.select("r", "at", "name"), [], 0
+    level, names, t = first.select("r", "at", "name", "mark"), [], 0
     while 1 << t <= longest:
         half = runs.where(F.col("len").between(1 << t, (2 << t) - 1))
-        a, b = (level.select(F.col("r").alias(f"r{i}"), F.col("at").alias(f"at{i}"), F.col("name").alias(f"name{i}")) for i in (1, 2))
+        a, b = (level.select(F.col("r").alias(f"r{i}"), F.col("at").alias(f"at{i}"), F.col("name").alias(f"name{i}"), F.col("mark").alias(f"mark{i}")) for i in (1, 2))
         half = half.join(a, (F.col("r") == F.col("r1")) & (F.col("from") == F.col("at1"))).join(b, (F.col("r") == F.col("r2")) & (F.col("from") + F.col("len") - (1 << t) == F.col("at2")))
-        names.append(half.select("id", "r", "from", "len", F.xxhash64("len", "name1", "name2").alias("name")))
+        names.append(half.select("id", "r", "from", "len", *marked("len", "name1", "mark1", "name2", "mark2")))
         if 2 << t <= longest:
             on = Window.partitionBy("r").orderBy("at").rangeBetween(1 << t, 1 << t)
-            pairs = level.withColumn("next", F.max("name").over(on)).where("next is not null")
-            level = written(several(pairs.select("r", "at", F.xxhash64("name", "next").alias("name"))), f"runs-{t + 1}")
+            pairs = level.withColumn("next", F.max(F.struct("name", "mark")).over(on)).where("next is not null")
+            level = written(several(pairs.select("r", "at", *marked("name", "mark", "next.name", "next.mark"))), f"runs-{t + 1}")
+            done.append(level)
         t += 1
     if names:
         named = written(reduce(DataFrame.unionByName, names), "runs-named")
-        keeper = named.groupBy("name").agg(F.min(F.struct("id", "r", "from")).alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        keeper = keeper.select(F.col("name").alias("k"), "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
-        gone = named.join(keeper, (F.col("name") == F.col("k")) & (F.pmod("r", F.lit(SALTS)) == F.col("s"))).where(~F.struct("id", "r", "from").eqNullSafe(F.col("keeper")))
+        discard(*done, runs)
+        keeper = named.groupBy("name", "mark").agg(F.min(F.struct("id", "r", "from")).alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        keeper = keeper.select(F.col("name").alias("k"), F.col("mark").alias("m"), "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
+        gone = named.join(keeper, (F.col("name") == F.col("k")) & (F.col("mark") == F.col("m")) & (F.pmod("r", F.lit(SALTS)) == F.col("s"))).where(~F.struct("id", "r", "from").eqNullSafe(F.col("keeper")))
         spans = touching(gone.select("r", F.col("from").cast("int").alias("a"), (F.col("from") + F.col("len")).cast("int").alias("b")))
     else:
         spans = docs.sparkSession.createDataFrame([], "r long, spans array<struct<a:int,b:int>>")
