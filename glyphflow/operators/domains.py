@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from glyphflow.functions.patterns import MINED, filled
+
 
 def exhaustive(spark: SparkSession, alphabet: str, least: int, most: int, leading_zero: bool = True) -> DataFrame:
     """value: all strings over the alphabet of least to most characters. Made by arithmetic on a range: no join, no driver."""
@@ -50,19 +52,39 @@ def boundaries(spark: SparkSession, alphabet: str, lengths: list[int]) -> DataFr
 
 
 def pool(spark: SparkSession, alphabet: str, least: int, most: int, size: int, exhaustive_to: int = 4, seed: int = 0) -> DataFrame:
-    """value and seq: an input pool of at most size values: all short ones, then boundaries, then drawn ones, first seen first."""
-    parts = [exhaustive(spark, alphabet, least, min(most, exhaustive_to)), boundaries(spark, alphabet, [most]), seeded(spark, alphabet, least, most, 4 * size, seed)]
+    """value and seq: an input pool of size values, or all there are: all short ones, then boundaries, then drawn ones, and
+    where these are too few, all strings in order; first seen first."""
+    short = exhaustive(spark, alphabet, least, min(most, exhaustive_to))
+    parts = [short, boundaries(spark, alphabet, [most]), seeded(spark, alphabet, least, most, 4 * size, seed), refill(spark, alphabet, least, most, size)]
+    return _first_seen(parts, least, most, size, seed)
+
+
+def refill(spark: SparkSession, alphabet: str, least: int, most: int, size: int) -> DataFrame:
+    """value: the first strings by length and then by alphabet, size of them or all there are."""
+    upto, made = least, domain_size(len(alphabet), least, least)
+    while made < size and upto < most:
+        upto += 1
+        made += len(alphabet) ** upto
+    return exhaustive(spark, alphabet, least, upto)
+
+
+def targeted(spark: SparkSession, alphabet: str, least: int, most: int, cap: int = 768, seed: int = 0) -> DataFrame:
+    """value and seq: audit inputs: all strings of up to 4 characters, constant and alternating ones of the longest lengths
+    and of 5 and 6, then drawn ones, cap in all."""
+    lengths = sorted({n for n in (most, most - 1, 5, 6) if least <= n <= most})
+    parts = [exhaustive(spark, alphabet, least, min(most, 4)), boundaries(spark, alphabet, lengths), seeded(spark, alphabet, least, most, 4 * cap, seed)]
+    return _first_seen(parts, least, most, cap, seed)
+
+
+def _first_seen(parts: list[DataFrame], least: int, most: int, size: int, seed: int) -> DataFrame:
     rows = reduce(DataFrame.unionByName, (p.withColumn("part", F.lit(i)) for i, p in enumerate(parts))).where(F.length("value").between(least, most))
     first = rows.groupBy("value").agg(F.min("part").alias("part"))
-    order = Window.orderBy("part", F.length("value"), F.xxhash64(F.lit(seed), "value"), "value")  # at most a few times size rows
+    last = len(parts) - 1
+    drawn = F.when(F.col("part").isin(0, last), F.lit(0)).otherwise(F.xxhash64(F.lit(seed), "value"))
+    order = Window.orderBy("part", F.length("value"), drawn, "value")  # a few times size rows: a pool is a parameter's size
     return first.withColumn("seq", F.row_number().over(order)).where(F.col("seq") <= size).select("seq", "value")
 
 
 def candidate_rules(alphabet: str) -> list[str]:
     """Short programs over an alphabet: replacing, marking, deleting, collapsing, at the ends, once, as a test, and exchanges."""
-    out = []
-    for a in alphabet:
-        out += [f"{a}={b}" for b in alphabet if a != b]
-        out += [f"{a}={a.upper()}", f"{a}=", f"{a}{a}={a}", f"(start){a}=", f"(end){a}=", f"(once){a}=", f"{a}=(return)yes\n=(return)no"]
-    out += [f"{a}{b}={b}{a}" for a in alphabet for b in alphabet if a != b]
-    return list(dict.fromkeys(out))
+    return filled(MINED, alphabet)

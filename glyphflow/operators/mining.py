@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from glyphflow.functions.fingerprints import behavior_signature, ordered_probes, structural_fingerprint
 from glyphflow.functions.kernel import rewrite
+from glyphflow.functions.patterns import SEARCHES, filled, letters_of
 from glyphflow.operators.batch import outcomes
 from glyphflow.operators.domains import candidate_rules, exhaustive
 from glyphflow.operators.quality import behavior_properties
@@ -80,37 +81,39 @@ def _candidates(frames):
     for frame in frames:
         rows = []
         for id_, seen in zip(frame["id"], frame["seen"], strict=True):
-            outputs = sorted({t["output"] for t in seen})
-            chars = sorted({c for t in seen for c in t["input"] + t["output"] if c.isascii() and c not in "=#()"})
-            one = [f"{a}={b}" for a in chars for b in ["", *chars] if a != b]
-            one += [p for c in chars for p in (f"(start){c}=", f"(end){c}=", f"{c}=(return)true\n=(return)false")]
-            more = [p for c in chars for p in (f"(start){c}=\n(end){c}=", *("\n".join([f"(once){c}="] * k) for k in range(1, 5)))]
-            more += [f"(once)=(end){m}\n0{m}=1\n1{m}={m}0\n{m}=1" for m in "XYZ"]
-            tried = {"identity": [""], "constant": [f"=(return){o}" for o in outputs], "single_rule_search": one, "template_search": more}
-            rows += [(id_, name, i, p) for name, programs in tried.items() for i, p in enumerate(programs)]
+            letters = letters_of(t[side] for t in seen for side in ("input", "output"))
+            for name, patterns in SEARCHES.items():
+                rows += [(id_, name, i, p) for i, p in enumerate(filled(patterns, letters, sorted({t["output"] for t in seen})))]
         yield pd.DataFrame(rows, columns=["id", "baseline", "at", "program"])
 
 
 def novelty(candidates_: DataFrame, existing: DataFrame) -> DataFrame:
     """id, five components and their mean for each candidate against the existing records.
 
-    Both: id, concepts, operations (arrays), structure, behavior. A catalogue is compared with a catalogue: every candidate
-    with every existing record, reduced to a minimum map-side; no pair leaves its task.
+    Both: id, concepts, operations (arrays), structure, behavior. Whether one value is known is a join; the nearest record
+    is found by comparing every candidate with every existing record, reduced to a minimum in each task. Neither side is
+    broadcast unless Spark finds it small.
     """
-    known = existing.agg(F.array_distinct(F.flatten(F.collect_set("concepts"))).alias("known"), F.collect_set("operations").alias("sequences"), F.collect_set("structure").alias("structures"), F.collect_set("behavior").alias("behaviors"))
     union = F.size(F.array_union("concepts", "c"))
     jaccard = F.when(union == 0, 0.0).otherwise(1 - F.size(F.array_intersect("concepts", "c")) / union)
     longest = F.greatest(F.size("operations"), F.size("s"))
     equal = F.size(F.filter(F.zip_with("operations", "s", lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
     sequence = F.when(longest == 0, 0.0).otherwise(1 - equal / longest)
-    others = existing.select(F.col("concepts").alias("c"), F.col("operations").alias("s"))
-    nearest = candidates_.crossJoin(F.broadcast(others)).groupBy("id").agg(F.min(0.6 * jaccard + 0.4 * sequence).alias("nearest"))
-    out = candidates_.join(nearest, "id", "left").crossJoin(F.broadcast(known))  # known: one row
+    others = existing.select(F.col("concepts").alias("c"), F.col("operations").alias("s")).distinct()
+    nearest = candidates_.crossJoin(others).groupBy("id").agg(F.min(0.6 * jaccard + 0.4 * sequence).alias("nearest")).withColumnRenamed("id", "_id")
+    out = candidates_.join(nearest, F.col("id") == F.col("_id"), "left").drop("_id")
+    for column in ("operations", "structure", "behavior"):
+        known = existing.select(F.col(column).alias("_k")).distinct().withColumn(f"_{column}", F.lit(True))
+        out = out.join(known, F.col(column) == F.col("_k"), "left").drop("_k")
+    concepts = existing.select(F.explode("concepts").alias("_k")).distinct().withColumn("_known", F.lit(True))
+    each = candidates_.select(F.col("id").alias("_id"), F.explode(F.array_distinct("concepts")).alias("c")).join(concepts, F.col("c") == F.col("_k"), "left")
+    fresh = each.groupBy("_id").agg(F.avg(F.when(F.col("_known"), 0.0).otherwise(1.0)).alias("_fresh"))
+    out = out.join(fresh, F.col("id") == F.col("_id"), "left").drop("_id")
     parts = {
-        "concept_novelty": F.when(F.size("concepts") == 0, 0.0).otherwise(F.size(F.array_except("concepts", "known")) / F.size(F.array_distinct("concepts"))),
-        "composition_novelty": (~F.array_contains("sequences", F.col("operations"))).cast("double"),
-        "structural_novelty": (~F.array_contains("structures", F.col("structure"))).cast("double"),
-        "behavior_novelty": (~F.array_contains("behaviors", F.col("behavior"))).cast("double"),
+        "concept_novelty": F.coalesce("_fresh", F.lit(0.0)),
+        "composition_novelty": F.col("_operations").isNull().cast("double"),
+        "structural_novelty": F.col("_structure").isNull().cast("double"),
+        "behavior_novelty": F.col("_behavior").isNull().cast("double"),
         "nearest_distance": F.coalesce("nearest", F.lit(1.0)),
     }
     rounded = {k: F.round(v, 6).alias(k) for k, v in parts.items()}
