@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from .rules import LENGTH_LIMIT, Rule, parse
 
 
-def closed_form(program: str, value: Column) -> Column | None:
-    """An expression equal to the program's output on every value, or None if none is known.
+def closed_form(program: str, value: Column, max_length: int = LENGTH_LIMIT) -> Column | None:
+    """An expression equal to the program's output on every value, null where a run goes over max_length; None if no such
+    expression is known.
 
     Iterated rewriting is not replace(): only single characters are lowered, whose removal can't make new matches. A chain
     of such rules is lowered in order, which needs that no rule's result has a character that an earlier rule looks for.
+    A rule's matches are all taken up before the next rule's, so that texts are longest where a rule begins or ends; and
+    a text within the limit has too few characters for the limit of steps.
     """
     rules = parse(program)
     seen: set[str] = set()
@@ -21,9 +24,12 @@ def closed_form(program: str, value: Column) -> Column | None:
         if not plain or r.left.text in r.right.text or seen & {*r.right.text}:
             return None
         seen.add(r.left.text)
+    fits = F.length(value) <= max_length
     for i, r in enumerate(rules):  # a later rule may make what only a still later one takes up
-        value = F.replace(value, F.lit(r.left.text), F.lit(r.right.text)) if all(r.left.text != x.left.text for x in rules[:i]) else value
-    return value
+        if all(r.left.text != x.left.text for x in rules[:i]):
+            value = F.replace(value, F.lit(r.left.text), F.lit(r.right.text))
+            fits = fits & (F.length(value) <= max_length) if len(r.right.text) > 1 else fits
+    return F.when(fits, value)
 
 
 def condition(rule: Rule, number: int, v: Column, used: Column) -> Column:

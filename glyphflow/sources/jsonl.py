@@ -24,30 +24,40 @@ def problems_of(raw: Column, schema: StructType) -> Column:
     )
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType, strict: bool = True) -> DataFrame:
-    """The records of files of JSON lines, with 'error'. strict: an action on rows with an error fails, naming the line."""
-    lines = spark.read.text(path).select(F.col("value").alias("raw"))
-    rows = lines.select("raw", problems_of(F.col("raw"), schema).alias("error"), F.from_json("raw", schema).alias("r"))
+def read_jsonl(spark: SparkSession, path: str, schema: StructType, strict: bool = True, numbered: bool = False) -> DataFrame:
+    """The records of files of JSON lines, with 'error' and 'file'. strict: an action on rows with an error fails, naming it.
+
+    numbered: with 'line' as well, from 1, which an error then names; a file is read as a whole for that.
+    """
+    if numbered:
+        whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("line", "raw"))
+        lines = whole.withColumn("line", F.col("line") + 1)
+    else:
+        lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw"))
+    place = [c for c in ("file", "line") if c in lines.columns]
+    rows = lines.select("raw", *place, problems_of(F.col("raw"), schema).alias("error"), F.from_json("raw", schema).alias("r"))
     if not strict:
-        return rows.select("r.*", "error", "raw")
-    checked = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.col("error"), F.lit(": "), F.col("raw"))).cast(schema)).otherwise(F.col("r"))
+        return rows.select("r.*", "error", "raw", *place)
+    where = F.concat_ws(":", *place)
+    checked = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(where, F.lit(": "), F.col("error"), F.lit(": "), F.col("raw"))).cast(schema)).otherwise(F.col("r"))
     return rows.select(checked.alias("r")).select("r.*")
 
 
-def as_json(df: DataFrame) -> DataFrame:
-    """value: each row as compact JSON; floats that JSON doesn't have are errors."""
-    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
-    bad = reduce(lambda a, c: a | F.isnan(c) | (F.abs(F.col(c)) == float("inf")), doubles, F.lit(False))
-    return df.select(F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit("a number that JSON doesn't have"))).otherwise(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias("value"))
+def as_json(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """value: each row as compact JSON, beside the columns of by, which aren't in it; floats that JSON doesn't have are
+    errors."""
+    by = by or []
+    rest = [f for f in df.schema.fields if f.name not in by]
+    doubles = [df[f.name] for f in rest if f.dataType.typeName() in ("double", "float")]
+    bad = reduce(lambda a, c: a | F.isnan(c) | (F.abs(c) == float("inf")), doubles, F.lit(False))
+    line = F.to_json(F.struct(*(df[f.name] for f in rest)), {"ignoreNullFields": "false"})
+    return df.select(*(df[c] for c in by), F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit("a number that JSON doesn't have"))).otherwise(line).alias("value"))
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists", by: str | None = None) -> None:
     """Files of JSON lines, in a folder for each value of by if given."""
-    if by is None:
-        as_json(df).write.mode(mode).text(path)
-    else:
-        rest = [c for c in df.columns if c != by]
-        df.select(by, F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).partitionBy(by).text(path)
+    writer = as_json(df, [by] if by else []).write.mode(mode)
+    (writer.partitionBy(by) if by else writer).text(path)
 
 
 def public_view(records: DataFrame) -> DataFrame:
