@@ -46,7 +46,7 @@ def five(spark: SparkSession) -> DataFrame:
 
 
 def strictly(spark: SparkSession, d: str) -> DataFrame:
-    return words(spark, d).select("value", strict(rewrite(P.SORT, F.col("value"))).alias("output"))
+    return words(spark, d).select("value", strict(rewrite(P.SORT, F.col("value")), F.col("value")).alias("output"))
 
 
 def lowered(spark: SparkSession, d: str) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphflow.plans import catalog_queries, kernel_queries, relational_queries
+from glyphflow.plans import catalog_queries, kernel_queries, record_queries, relational_queries
 
-PARTS = (kernel_queries, catalog_queries, relational_queries)
+PARTS = (kernel_queries, catalog_queries, relational_queries, record_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,41 @@ PROBES = " UNION ALL ".join(f"SELECT '{n}' AS name, {quoted(p)} AS program, * FR
 SEED = 7
 
 
+def _mutants(wrong: Callable[[str, str], str], select: str) -> str:
+    """For each of the five programs, select from the outcomes x of a mutant q and y of the program p on short values."""
+    each = (select.format(name=n, q=quoted(wrong(n, p)), p=quoted(p), pairs=f"(SELECT a.value, a.output AS x, b.output AS y FROM ({outcome_sql(wrong(n, p), SHORT, 2000, 256)}) a JOIN ({outcome_sql(p, SHORT, 2000, 256)}) b USING (value))") for n, p in P.FIVE.items())
+    return " UNION ALL ".join(each)
+
+
+def _shuffled(name: str, program: str) -> str:
+    lines = program.split("\n")
+    return "\n".join(lines[i] for i in sorted(range(len(lines)), key=lambda i: hashlib.sha256(f"{SEED}\0{name}\0{i}".encode()).hexdigest()))
+
+
+_AGAIN = " UNION ALL ".join(f"SELECT '{n}' AS name, value, output AS again FROM ({outcome_sql(p, f'SELECT DISTINCT output AS value FROM ({outcome_sql(p, SHORT, 100, 12)}) WHERE terminating', 200, 32)})" for n, p in P.FIVE.items())
+_PROPERTIES = f"""WITH r AS (SELECT p.name, p.value, p.output, p.terminating, g.again FROM ({PROBES}) p LEFT JOIN ({_AGAIN}) g ON p.name = g.name AND p.terminating AND p.output = g.value),
+a AS (SELECT name, bool_and(terminating) AND coalesce(bool_and(again IS NOT DISTINCT FROM output) FILTER (terminating), true) AS idempotent, coalesce(bool_and(length(output) = length(value)), false) AS length_preserving, coalesce(bool_or(length(output) > length(value)), false) AS length_increasing,
+ coalesce(bool_or(length(output) < length(value)), false) AS length_decreasing, coalesce(bool_and(translate(output, 'abc', '') = ''), true) AS alphabet_preserving, count(DISTINCT output) AS n FROM r GROUP BY name)
+SELECT name, idempotent, length_preserving, length_increasing, length_decreasing, alphabet_preserving, idempotent AND length_decreasing AS possible_normalizer, n > 1 AND n <= 4 AND NOT alphabet_preserving AS possible_classifier, NOT alphabet_preserving AND n > 4 AS possible_encoder FROM a"""
+_COMPLETION = " UNION ALL ".join(
+    f"SELECT '{n}' AS problem_id, array_to_string(list_transform(l, lambda x, i: CASE WHEN i - 1 = k THEN '<MISSING_RULE>' ELSE x END), chr(10)) AS incomplete_program, l[k + 1] AS missing_rule, k AS missing_rule_index FROM (SELECT l, (('0x' || substr(sha256('{SEED}' || chr(0) || '{n}'), 1, 8))::BIGINT % len(l))::INT AS k FROM (SELECT string_split({quoted(p)}, chr(10)) AS l))"
+    for n, p in P.FIVE.items() if "\n" in p
+)
+_STATUS = "CASE WHEN error IS NULL THEN 'halted' WHEN error = 'execution_step_limit' THEN 'step_limit' ELSE 'length_limit' END AS label"
+_TERMINATION = "SELECT label, count(*) AS n FROM (" + " UNION ALL ".join([
+    *(f"SELECT {_STATUS} FROM ({outcome_sql(p, SHORT, 2000, 256)})" for p in P.FIVE.values()),
+    *(f"SELECT {_STATUS} FROM ({outcome_sql(p, 'SELECT ' + quoted('a') + ' AS value', steps, length)})" for p, steps, length in (("a=a", 4, 10), ("a=aa", 100, 4))),
+]) + ") GROUP BY label"
+_GREEDY = f"""WITH RECURSIVE s AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY sha256('{SEED}' || chr(0) || source)) AS r FROM documents GROUP BY source), t AS (SELECT sum(n)::DOUBLE AS t, count(*) AS k FROM s),
+g AS (SELECT 0::BIGINT AS r, NULL::VARCHAR AS source, NULL::VARCHAR AS split, t * 0.8::DOUBLE AS a, t * 0.1::DOUBLE AS b, t * 0.1::DOUBLE AS c FROM t UNION ALL
+SELECT r, source, split, a - CASE WHEN split = 'train' THEN n ELSE 0 END, b - CASE WHEN split = 'validation' THEN n ELSE 0 END, c - CASE WHEN split = 'test' THEN n ELSE 0 END FROM
+(SELECT s.r, s.source, s.n, g.a, g.b, g.c, CASE WHEN k >= 3 AND s.r <= 3 THEN ['train','validation','test'][s.r] WHEN g.a >= g.b AND g.a >= g.c THEN 'train' WHEN g.b >= g.c THEN 'validation' ELSE 'test' END AS split FROM g, t, s WHERE s.r = g.r + 1))
+SELECT source, split FROM g WHERE r > 0"""
+_TWO_KEYS = """WITH RECURSIVE g AS (SELECT min(p_partkey) AS k, [arg_min(p_brand, p_partkey)] AS brands, [arg_min(p_type, p_partkey)] AS types FROM part UNION ALL
+SELECT min(p.p_partkey), list_append(g.brands, arg_min(p.p_brand, p.p_partkey)), list_append(g.types, arg_min(p.p_type, p.p_partkey)) FROM g JOIN part p ON p.p_partkey > g.k AND NOT list_contains(g.brands, p.p_brand) AND NOT list_contains(g.types, p.p_type) GROUP BY g.k, g.brands, g.types)
+SELECT p_partkey, p_brand, p_type FROM part WHERE p_partkey IN (SELECT k FROM g)"""
+
+
 def probes(spark: SparkSession) -> DataFrame:
     return outcomes(five(spark), domains.exhaustive(spark, "abc", 0, 4), 100, 12)
 
@@ -72,7 +108,7 @@ def records(spark: SparkSession, d: str) -> DataFrame:
 
 def first_differences(spark: SparkSession, d: str) -> DataFrame:
     """The first word on which each program and the same program without its last rule differ."""
-    cases = five(spark).withColumnRenamed("name", "problem_id").crossJoin(F.broadcast(words(spark, d).withColumnRenamed("value", "input")))
+    cases = words(spark, d).withColumnRenamed("value", "input").crossJoin(F.broadcast(five(spark).withColumnRenamed("name", "problem_id")))  # five programs
     return auxiliary.distinguishing(cases)
 
 
@@ -117,7 +153,7 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "behavior_signature": (signatures, f"""SELECT name, sha256('[' || string_agg('{{"error":' || coalesce('"' || error || '"', 'null') || ',"input":"' || value || '","output":' || coalesce('"' || output || '"', 'null') || ',"terminating":' || terminating || '}}', ',' ORDER BY length(value), value) || ']') AS signature FROM ({PROBES}) GROUP BY name"""),
     "semantic_fingerprint": (semantics, None),
     "structural_fingerprint": (structures, None),
-    "behavior_properties": (properties, None),
+    "behavior_properties": (properties, _PROPERTIES),
     "mining_clusters": (lambda s, d: mining.mine(s, SEED, 60), None),
     "baseline_table": (lambda s, d: mining.baselines(tests_of(s, d)), None),
     "novelty_score": (lambda s, d: mining.novelty(catalogue(s, d, ["even"]), catalogue(s, d, None)), _NOVEL),
@@ -149,16 +185,16 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "family_split": (lambda s, d: selection.family_split(parts(s, d).select("p_partkey", "p_type"), "p_partkey", "p_type", SEED).select("p_partkey", "split"), f"SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY p_type ORDER BY sha256('{SEED}' || chr(0) || p_partkey), p_partkey) <= 2 THEN 'train' WHEN ('0x' || substr(sha256('{SEED}' || chr(0) || p_type), 1, 2))::INT % 2 = 1 THEN 'validation' ELSE 'test' END AS split FROM part"),
     "rebalance": (lambda s, d: selection.rebalanced(table(s, d, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 4 == 0, "test").otherwise("validation").alias("split")), "validation", "test", "s_suppkey", 60), "WITH a AS (SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'test' ELSE 'validation' END AS x FROM supplier), b AS (SELECT s_suppkey, CASE WHEN x = 'validation' AND row_number() OVER (PARTITION BY x ORDER BY s_suppkey) > 60 THEN 'test' ELSE x END AS y FROM a) SELECT s_suppkey, CASE WHEN y = 'test' AND row_number() OVER (PARTITION BY y ORDER BY s_suppkey) > 60 THEN 'validation' ELSE y END AS split FROM b"),
     "weighted_choice": (lambda s, d: selection.weighted_choice(table(s, d, "nation").select("n_name", (F.col("n_regionkey") + 1).cast("long").alias("w")), "n_name", "w", table(s, d, "orders").select("o_orderkey", ((F.col("o_orderkey") % 1000) / 1000).alias("point"))), "WITH c AS (SELECT n_name, sum(n_regionkey + 1) OVER (ORDER BY n_name) AS e, n_regionkey + 1 AS w, sum(n_regionkey + 1) OVER () AS t FROM nation) SELECT o_orderkey, (o_orderkey % 1000) / 1000 AS point, n_name FROM orders JOIN c ON (o_orderkey % 1000) / 1000 * t >= e - w AND (o_orderkey % 1000) / 1000 * t < e"),
-    "greedy_capacity_split": (lambda s, d: selection.capacity_split(docs(s, d), "source", {"train": 0.8, "validation": 0.1, "test": 0.1}, SEED), None),
-    "two_key_dedup": (lambda s, d: selection.two_key_dedup(parts(s, d).select("p_partkey", "p_brand", "p_type"), "p_partkey", "p_brand", "p_type"), None),
+    "greedy_capacity_split": (lambda s, d: selection.capacity_split(docs(s, d), "source", {"train": 0.8, "validation": 0.1, "test": 0.1}, SEED), _GREEDY),
+    "two_key_dedup": (lambda s, d: selection.two_key_dedup(parts(s, d).select("p_partkey", "p_brand", "p_type"), "p_partkey", "p_brand", "p_type"), _TWO_KEYS),
     "ablation_effective": (lambda s, d: first_differences(s, d), f"WITH o AS ({' UNION ALL '.join(f"SELECT '{n}' AS problem_id, {quoted(q)} AS program_a, {quoted(p)} AS program_b, a.value, a.output AS x, b.output AS y FROM ({outcome_sql(q, ABC, 2000, 256)}) a JOIN ({outcome_sql(p, ABC, 2000, 256)}) b USING (value)" for n, p in P.FIVE.items() for q in [p.rpartition(chr(10))[0]])}) SELECT problem_id, program_a, program_b, arg_min(value, {{'n': length(value), 'v': value}}) AS input, arg_min(x, {{'n': length(value), 'v': value}}) AS output_a, arg_min(y, {{'n': length(value), 'v': value}}) AS output_b FROM o WHERE x IS DISTINCT FROM y GROUP BY ALL"),
     "aux_execution": (lambda s, d: auxiliary.execution(problem_cases(s, d)), " UNION ALL ".join(f"SELECT '{n}' AS problem_id, {quoted(p)} AS program, value AS input, output FROM ({outcome_sql(p, SHORT, 2000, 256)})" for n, p in P.FIVE.items())),
     "aux_trace": (lambda s, d: auxiliary.traces(problem_cases(s, d)), None),
-    "aux_termination": (lambda s, d: auxiliary.termination(problem_cases(s, d)).groupBy("label").agg(F.count(F.lit(1)).alias("n")), "SELECT * FROM (VALUES ('halted', 605), ('step_limit', 1), ('length_limit', 1)) t(label, n)"),
+    "aux_termination": (lambda s, d: auxiliary.termination(problem_cases(s, d)).groupBy("label").agg(F.count(F.lit(1)).alias("n")), _TERMINATION),
     "aux_repair": (lambda s, d: auxiliary.repair(problem_cases(s, d)), " UNION ALL ".join(f"SELECT '{n}' AS problem_id, {quoted(p.rpartition(chr(10))[0])} AS wrong_program, {quoted(p)} AS fixed_program, arg_min(value, {{'n': length(value), 'v': value}}) AS input, arg_min(y, {{'n': length(value), 'v': value}}) AS output FROM (SELECT a.value, a.output AS x, b.output AS y FROM ({outcome_sql(p.rpartition(chr(10))[0], SHORT, 2000, 256)}) a JOIN ({outcome_sql(p, SHORT, 2000, 256)}) b USING (value)) WHERE x IS DISTINCT FROM y" for n, p in P.FIVE.items())),
-    "aux_completion": (lambda s, d: auxiliary.completion(problem_cases(s, d), SEED), None),
-    "aux_ordering": (lambda s, d: auxiliary.ordering(problem_cases(s, d), SEED), None),
-    "aux_equivalence": (lambda s, d: auxiliary.equivalence(problem_cases(s, d)), None),
+    "aux_completion": (lambda s, d: auxiliary.completion(problem_cases(s, d), SEED), _COMPLETION),
+    "aux_ordering": (lambda s, d: auxiliary.ordering(problem_cases(s, d), SEED), _mutants(_shuffled, "SELECT '{name}' AS problem_id, {q} AS shuffled_program, {p} AS ordered_program WHERE EXISTS (SELECT 1 FROM {pairs} WHERE x IS DISTINCT FROM y)")),
+    "aux_equivalence": (lambda s, d: auxiliary.equivalence(problem_cases(s, d)), _mutants(lambda n, p: p.rpartition("\n")[0], "SELECT '{name}' AS problem_id, {q} AS program_a, {p} AS program_b, false AS label WHERE EXISTS (SELECT 1 FROM {pairs} WHERE x IS DISTINCT FROM y)") + "".join(f" UNION ALL SELECT '{n}', {quoted(p)}, {quoted(p)}, true" for n, p in P.FIVE.items())),
     "blacklist": (lambda s, d: docs(s, d).select("doc_id", F.exists(F.array(F.lit("license"), F.lit("the of")), lambda p: F.contains("text", p)).alias("hit")), "SELECT doc_id, contains(text, 'license') OR contains(text, 'the of') AS hit FROM documents"),
     "features": (lambda s, d: s.createDataFrame([(p,) for p in (P.SORT, P.ONCE, P.RETURN, P.ANCHORS, P.MOVES)], "program string").select("program", F.filter(F.array(*(F.lit(k) for k in ("once", "start", "end", "return"))), lambda f: F.contains("program", F.concat(F.lit("("), f, F.lit(")")))).alias("features")), " UNION ALL ".join(f"SELECT {quoted(p)} AS program, list_filter(['once','start','end','return'], lambda f: contains({quoted(p)}, '(' || f || ')')) AS features" for p in (P.SORT, P.ONCE, P.RETURN, P.ANCHORS, P.MOVES))),
     "json_lines": (lambda s, d: jsonl.as_json(docs(s, d).select("doc_id", "lang", "source")), """SELECT '{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '"}' AS value FROM documents"""),
