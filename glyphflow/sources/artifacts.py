@@ -48,9 +48,9 @@ def get_document(spark: SparkSession, path: str) -> Any:
     return json.loads(get_text(spark, path))
 
 
-def programs(spark: SparkSession, path: str) -> DataFrame:
-    """task (the folder's name), file and program of all program files below a path (or pattern)."""
-    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.a2b").text(path, wholetext=True)
+def programs(spark: SparkSession, path: str, files: str = "solution.*") -> DataFrame:
+    """task (the folder's name), file and program of all program files below a path, by a pattern of their names."""
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files).text(path, wholetext=True)
     rows = rows.select("value", F.col("_metadata.file_path").alias("file"))
     return rows.select(F.element_at(F.split("file", "/"), -2).alias("task"), F.element_at(F.split("file", "/"), -1).alias("file"), F.regexp_replace("value", "\n$", "").alias("program"))
 

@@ -30,7 +30,7 @@ def test_task_folders(spark, tmp_path):
     for name, program, pre, full in (("t-1", "a=b\n", [("a", "b")], [("a", "b"), ("c", "c"), ("c", "c"), ("aa", "bb")]), ("t-2", "x=", [("", "")], [("x", "")])):
         d = tmp_path / name
         d.mkdir()
-        (d / "solution.a2b").write_text(program)
+        (d / "solution.rules").write_text(program)
         (d / "task.jsonl").write_text(json.dumps({"id": name, "title": f"T {name}", "constraints": {"alphabet": ["a"]}}) + "\n")
         for part, cases in (("pretest", pre), ("full", full)):
             (d / f"testcase_{part}.jsonl").write_text("".join(json.dumps({"input": i, "output": o}) + "\n" for i, o in cases))
