@@ -234,25 +234,31 @@ def weigh(order: list[Node], body: Node) -> None:
     for node in reversed(order):
         own = elements(node)
         node.total = sum(x.density for x in own)
-        node.peak = max([node, *(x.peak for x in own if x.alive)], key=lambda x: (x.total, x.tag in PARTS))
+        node.peak = max([node, *(x.peak for x in own if x.alive)], key=lambda x: (-1.0 if of_links(x) else x.total, x.tag in PARTS))
+
+
+def of_links(node: Node) -> bool:
+    """Whether a block has most of its text in links: no sum of its own then makes it content."""
+    return node.tag in GROUPS and 2 * node.link_chars > node.chars
 
 
 def chosen(order: list[Node], body: Node) -> Node:
     """Marks the elements that are content and returns the one with the highest density sum.
 
     The least density on the path from that one up to body is the threshold: of each element that reaches it, the part of
-    the highest sum is content. Beside an article or main element, what is outside any such must be as dense as it.
+    the highest sum is content. Beside an article or main element, what is outside any such must be as dense as it. A
+    block that isn't on the path and has most of its text in links is none, nor is anything in it.
     """
     best = body.peak
     path = [best]
     while path[-1] is not body and path[-1].parent is not None:
         path.append(path[-1].parent)
-    threshold = min(x.density for x in path)
+    threshold, onward = min(x.density for x in path), set(path)
     whole = next((x for x in path if x.tag in PARTS), None)
     stack = [body]
     while stack:
         node = stack.pop()
-        if node.marked or not node.alive:
+        if node.marked or not node.alive or node not in onward and of_links(node):
             continue
         if node.density >= (threshold if whole is None or node.part or node.holds else max(threshold, whole.density)):
             peak = node.peak

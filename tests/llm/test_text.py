@@ -276,13 +276,16 @@ def plain_text(body):
 
     total = lambda x: sum(density(y) for y in x[1] if not isinstance(y, str))
     above = {id(y): x for x in (body, *below(body)) for y in x[1]}
-    peak = lambda x: max([x, *below(x)], key=total)
+    of_links = lambda x: x[0] in ("div", "section", "ul") and 2 * sum(map(size, links(x))) > size(x)
+    peak = lambda x: max([x, *below(x)], key=lambda y: -1.0 if of_links(y) else total(y))
     path = [peak(body)]
     while path[-1] is not body:
         path.append(above[id(path[-1])])
     least, marked = min(map(density, path)), set()
 
     def mark(x):
+        if of_links(x) and not any(x is y for y in path):
+            return
         if density(x) >= least:
             top = peak(x)
             while top[0] not in ("div", "section", "body") and above[id(top)] is not body:
@@ -330,6 +333,13 @@ def test_main_text_equals_a_plain_version():
     assert found > 250
 
 
+def test_blocks_of_links_beside_the_content_go():
+    side = "<div id=side><h3>Popular posts</h3><ul>" + "".join(f"<li><a href=/{i}>A popular post with a long title {i}</a></li>" for i in range(9)) + "</ul><p>Subscribe today!</p></div>"
+    for main in (f"<div id=wrap><div id=content><h1>Title</h1><p>{LONG}</p><p>Short.</p><ul><li>One</li></ul></div>{side}</div>", f"<main><h1>Title</h1><p>{LONG}</p><p>Short.</p><ul><li>One</li></ul></main>{side}"):
+        assert main_text(f"<body>{main}</body>").split("\n\n") == ["Title", LONG.strip(), "Short.", "One"]
+    assert main_text(f"<body><main><h1>Note</h1><p>Tiny.</p></main>{side}</body>") == "Note\n\nTiny."
+
+
 def test_densities_decide(monkeypatch):
     menu = "<div><ul>" + "<li><a href=/x>One of many links</a> and</li>" * 30 + "</ul></div>"
     page = f"<body>{menu}<div><p>{LONG}</p><p>{LONG}</p></div>{menu}</body>"
