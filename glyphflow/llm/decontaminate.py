@@ -69,7 +69,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     seen = []
     for k in sorted(r["k"] for r in every.select("k").distinct().collect()):  # at most SHINGLE values
         known = wanted.where(F.col("k") == k).select(F.explode(shingles(F.col("w"), k)).alias("known")).distinct()
-        places = keys.select("id", "body", F.size("all").alias("n"), F.posexplode(shingles(F.col("all"), k)).alias("at", "shingle"))
+        # two steps: what stands beside a generator in one select goes through it with each of its rows
+        each = keys.select("id", "body", F.size("all").alias("n"), shingles(F.col("all"), k).alias("shingles"))
+        places = each.select("id", "body", "n", F.posexplode("shingles").alias("at", "shingle"))
         seen.append(places.join(side(known), F.col("shingle") == F.col("known")).select("id", "body", "n", "at", "shingle", F.lit(k).alias("k")))
     base = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("body"), count_words(F.col(text)).alias("n_words"))
     nothing = F.sha2(F.lit(""), 256)
