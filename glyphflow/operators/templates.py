@@ -21,7 +21,7 @@ def of(pattern: str, least: int = 1, most: int = 1) -> Template:
     """A template that fills a pattern, repeated least to most times."""
 
     def make(rng: random.Random, alphabet: str) -> str:
-        a, b = rng.sample(alphabet, 2) if "{b}" in pattern else (rng.choice(alphabet), "")
+        a, b = rng.sample(alphabet, 2) if "{b}" in pattern else (rng.choice(alphabet) if "{a}" in pattern else "", "")
         return "\n".join([pattern.format(a=a, b=b, m=rng.choice(MARKS))] * rng.randint(least, most))
 
     return make
