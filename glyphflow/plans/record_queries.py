@@ -110,8 +110,8 @@ def audited(spark: SparkSession, d: str) -> DataFrame:
     return audits.artifact_audit(word_records(spark, d), aux)
 
 
-_WORD_AUDIT = f"""WITH w AS ({ABC}), r AS (SELECT count(*) AS record_count, count_if(length(value) % 7 = 0 AND reverse(value) <> {SORTED.format('value')}) AS validation_failures, (count(*) - count(DISTINCT {SORTED.format('value')}))::BIGINT AS behavior_duplicates,
-(count(*) - count(DISTINCT length(value)))::BIGINT AS alpha_equivalent_duplicates, count_if(length(value) % 3 <> length(value) % 2) AS auxiliary_reference_cross_split FROM w) SELECT *, validation_failures + behavior_duplicates + alpha_equivalent_duplicates + auxiliary_reference_cross_split = 0 AS passed FROM r"""
+_WORD_AUDIT = f"""WITH w AS ({ABC}), r AS (SELECT count(*) AS record_count, count_if(length(value) % 7 = 0 AND reverse(value) <> {SORTED.format('value')})::BIGINT AS validation_failures, (count(*) - count(DISTINCT {SORTED.format('value')}))::BIGINT AS behavior_duplicates,
+(count(*) - count(DISTINCT length(value)))::BIGINT AS alpha_equivalent_duplicates, count_if(length(value) % 3 <> length(value) % 2)::BIGINT AS auxiliary_reference_cross_split FROM w) SELECT *, validation_failures + behavior_duplicates + alpha_equivalent_duplicates + auxiliary_reference_cross_split = 0 AS passed FROM r"""
 
 _OPS = {"delete": (Operation("delete", {"symbols": "b"}), "replace({}, 'b', '')"), "reverse": (Operation("reverse"), "reverse({})"), "rotate": (Operation("rotate", {"amount": 1}), "substr({0}, 2) || left({0}, 1)"), "sort": (Operation("move_symbols", {"order": "abc"}), SORTED), "map": (Operation("map", {"mapping": {"a": "b"}}), "replace({}, 'a', 'b')")}
 COMPOSED = {"delete+reverse": ["delete", "reverse"], "reverse+sort": ["reverse", "sort"], "rotate+delete": ["rotate", "delete"], "delete+rotate+reverse": ["delete", "rotate", "reverse"], "sort": ["sort"], "map+rotate+delete": ["map", "rotate", "delete"]}
@@ -165,7 +165,7 @@ def closed_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CLOSED = f"""WITH o AS (SELECT 'sort' AS name, value, output, {SORTED.format('value')} AS form FROM ({outcome_sql(P.SORT, ABC, 100_000)}) UNION ALL SELECT 'delete', value, output, replace(replace(value, 'b', ''), 'a', 'x') FROM ({outcome_sql(P.DELETE, ABC, 100_000)})
-UNION ALL SELECT 'collapse', value, output, regexp_replace(value, 'a+', 'a', 'g') FROM ({outcome_sql(P.COLLAPSE, ABC, 100_000)})) SELECT name, count(*) AS attempted, count_if(output = form) AS verified, round(count_if(output = form) / count(*), 6) AS fraction FROM o GROUP BY name"""
+UNION ALL SELECT 'collapse', value, output, regexp_replace(value, 'a+', 'a', 'g') FROM ({outcome_sql(P.COLLAPSE, ABC, 100_000)})) SELECT name, count(*) AS attempted, count_if(output = form)::BIGINT AS verified, round(count_if(output = form) / count(*), 6) AS fraction FROM o GROUP BY name"""
 
 # -- record schemas ---------------------------------------------------------------------------------------------------------
 _DIGEST = "0123456789abcdef" * 4
@@ -234,7 +234,7 @@ def labelled(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_LABELLED = f"""SELECT p_partkey AS k, ({_LIST(FAMILIES)})[p_partkey % 7 + 1] AS family, ({_LIST(DOMAINS)})[p_partkey % 4 + 1] AS domain, 1 + p_partkey % 3 AS depth, ({_LIST(CONCEPTS)})[p_partkey % 5 + 1] AS concepts, ({_LIST(DESCRIPTIONS)})[p_partkey % 5 + 1] AS description,
+_LABELLED = f"""SELECT p_partkey::INT AS k, ({_LIST(FAMILIES)})[p_partkey % 7 + 1] AS family, ({_LIST(DOMAINS)})[p_partkey % 4 + 1] AS domain, 1 + p_partkey % 3 AS depth, ({_LIST(CONCEPTS)})[p_partkey % 5 + 1] AS concepts, ({_LIST(DESCRIPTIONS)})[p_partkey % 5 + 1] AS description,
 ['io_only','prose','rules'][p_partkey % 11 % 3 + 1] AS style, ['random_mined','template','composed'][p_partkey % 13 % 3 + 1] AS source, 1 + p_size % 8 AS lines FROM part"""
 
 
@@ -284,17 +284,17 @@ def _distribution(name: str, expression: str, where: str = "true") -> str:
 
 
 _AT = lambda values, index: f"({_LIST(values)})[{index} + 1]"
-_COGNITIVE = """SELECT count(*) AS synthesis_problem_count, count(DISTINCT p_partkey % 7) AS cognitive_family_count, count(DISTINCT p_partkey % 60) AS semantic_archetype_count, count_if(p_partkey % 3 = 1) AS genuine_composition_count, round(count_if(p_partkey % 3 > 0) / count(*), 6) AS genuine_composition_fraction,
-count_if(p_partkey % 3 > 0 AND p_partkey % 17 = 0) AS composition_component_probe_failures, count_if(p_partkey % 19 % 3 = 2) AS operational_description_count, count(*) - count(DISTINCT p_partkey // 2) AS behavior_duplicates, round(count_if(p_partkey % 31 > 0) / count(*), 6) AS reference_verification_fraction, round(avg(p_partkey % 10 / 10.0), 6) AS identity_fraction_mean,
+_COGNITIVE = """SELECT count(*) AS synthesis_problem_count, count(DISTINCT p_partkey % 7) AS cognitive_family_count, count(DISTINCT p_partkey % 60) AS semantic_archetype_count, count_if(p_partkey % 3 = 1)::BIGINT AS genuine_composition_count, round(count_if(p_partkey % 3 > 0) / count(*), 6) AS genuine_composition_fraction,
+count_if(p_partkey % 3 > 0 AND p_partkey % 17 = 0)::BIGINT AS composition_component_probe_failures, count_if(p_partkey % 19 % 3 = 2)::BIGINT AS operational_description_count, count(*) - count(DISTINCT p_partkey // 2) AS behavior_duplicates, round(count_if(p_partkey % 31 > 0) / count(*), 6) AS reference_verification_fraction, round(avg(p_partkey % 10 / 10.0), 6) AS identity_fraction_mean,
 round(avg(p_partkey % 4 / 4.0), 6) AS constant_fraction_mean, 1.0::DOUBLE AS terminating_fraction, sum(p_partkey % 2)::BIGINT AS public_hidden_overlap, (1 + max(p_size % 9))::INT AS max_program_lines, least(min(p_partkey % 5), min(p_partkey % 7))::INT AS min_steps, greatest(max(p_partkey % 5), max(p_partkey % 7))::INT AS max_steps, round((sum(p_partkey % 5) + sum(p_partkey % 7)) / (2 * count(*)), 6) AS mean_steps,
 (SELECT sum(n) FILTER (n > 1) FROM (SELECT count(*) AS n FROM part GROUP BY p_partkey // 3))::BIGINT AS alpha_equivalent_problem_count, (SELECT max(n) FROM (SELECT count(*) AS n FROM part GROUP BY p_partkey // 3)) AS max_alpha_cluster_size FROM part"""
 _DISTRIBUTIONS = " UNION ALL ".join([
     _distribution("family_distribution", _AT(FAMILIES, "p_partkey % 7")), _distribution("source_distribution", _AT(("template", "composed", "teacher"), "p_partkey % 3")), _distribution("domain_distribution", _AT(DOMAINS, "p_partkey % 4")), _distribution("depth_distribution", "1 + p_partkey % 3"),
     _distribution("lines_distribution", "1 + p_size % 9"), _distribution("split_distribution", _AT(("train", "validation", "test"), "p_partkey % 6 % 3")),
 ])
-_HARDENING = """SELECT count(*) AS problem_count, count_if(p_partkey % 3 > 0) AS composition_count, count_if(p_partkey % 3 = 1) AS genuine_count, count_if(p_partkey % 3 = 2) AS superficial_count, round(count_if(p_partkey % 3 = 1) / count_if(p_partkey % 3 > 0), 6) AS genuine_fraction, round(count_if(p_partkey % 3 = 2) / count_if(p_partkey % 3 > 0), 6) AS superficial_fraction,
+_HARDENING = """SELECT count(*) AS problem_count, count_if(p_partkey % 3 > 0)::BIGINT AS composition_count, count_if(p_partkey % 3 = 1)::BIGINT AS genuine_count, count_if(p_partkey % 3 = 2)::BIGINT AS superficial_count, round(count_if(p_partkey % 3 = 1) / count_if(p_partkey % 3 > 0), 6) AS genuine_fraction, round(count_if(p_partkey % 3 = 2) / count_if(p_partkey % 3 > 0), 6) AS superficial_fraction,
 coalesce(bool_and(p_partkey % 2 = 1) FILTER (p_partkey % 3 > 0), true) AS all_effective_depth_at_least_two, true AS all_depth_three_components_effective, count(DISTINCT p_partkey // 2) AS concrete_behavior_unique, count(DISTINCT p_partkey // 5) AS alpha_normalized_behavior_unique, count(DISTINCT p_partkey // 4) AS structural_unique, count(DISTINCT p_partkey // 6) AS semantic_ir_unique,
-count(*) - count(DISTINCT p_partkey // 2) AS behavior_duplicates, count_if(p_partkey % 43 = 0) AS ontology_error_count, round(count_if(p_partkey % 31 > 0) / count(*), 6) AS reference_verification_fraction FROM part"""
+count(*) - count(DISTINCT p_partkey // 2) AS behavior_duplicates, count_if(p_partkey % 43 = 0)::BIGINT AS ontology_error_count, round(count_if(p_partkey % 31 > 0) / count(*), 6) AS reference_verification_fraction FROM part"""
 _QUALITY = """SELECT count(*) AS problem_count, round(sum(p_partkey % 10 / 10.0) / count(*), 6) AS identity_fraction, round(count_if(p_partkey % 3 = 1) / count(*), 6) AS constant_fraction, 1.0::DOUBLE AS terminating_fraction, sum(p_partkey % 2)::BIGINT AS public_hidden_overlap, (count(*) - count(DISTINCT p_partkey // 2))::BIGINT AS behavior_duplicates FROM part"""
 _COGNITIVE_CHECKS = f"""SELECT synthesis_problem_count = 60 AND semantic_archetype_count = 60 AS archetypes, cognitive_family_count = 20 AS families, (SELECT bool_and(n = 3) FROM (SELECT count(*) AS n FROM part GROUP BY p_partkey % 7)) AS archetypes_per_family, reference_verification_fraction = 1 AS verified, behavior_duplicates = 0 AS no_behavior_duplicates,
 coalesce(alpha_equivalent_problem_count, 0) = 0 AS no_alpha_equivalents, operational_description_count = 0 AS no_operational_descriptions, genuine_composition_fraction BETWEEN 0.15 AND 0.25 AS genuine_fraction, composition_component_probe_failures = 0 AS components_effective, max_program_lines <= 32 AS program_limits,
@@ -336,7 +336,7 @@ Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "lineage_audit": (lineage, _LINEAGE),
     "artifact_audit": (audited, _WORD_AUDIT),
     "audit_failures": (lambda s, d: audits.failures(word_records(s, d)), f"SELECT value AS id, 'reference_mismatch' AS reason FROM ({ABC}) WHERE length(value) % 7 = 0 AND reverse(value) <> {SORTED.format('value')}"),
-    "reproducibility": (lambda s, d: audits.reproducible(lambda: outcomes(five(s), words(s, d), 10_000, 30).select("name", "value", "output", "steps")), f"SELECT 5 * count(*) AS first_rows, 5 * count(*) AS second_rows, 0::HUGEINT AS differing, true AS identical FROM ({ABC})"),
+    "reproducibility": (lambda s, d: audits.reproducible(lambda: outcomes(five(s), words(s, d), 10_000, 30).select("name", "value", "output", "steps")), f"SELECT 5 * count(*) AS first_rows, 5 * count(*) AS second_rows, 0::BIGINT AS differing, true AS identical FROM ({ABC})"),
     "composition_analysis": (analysed, " UNION ALL ".join(_composition_sql(n, ops) for n, ops in COMPOSED.items())),
     "compiled_compositions": (compiled_outputs, " UNION ALL ".join(f"SELECT '{n}' AS name, v AS value, {_expression(ops)} AS output FROM (SELECT value AS v FROM ({ABC}))" for n, ops in COMPOSED.items())),
     "closed_form_check": (closed_forms, _CLOSED),
