@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ascii_words, let, same
+from .shared import SPACE, SPACES, ascii_words, let, same, written
 
 MIN_DOCS = 20
 SHARE = 0.001
@@ -51,7 +51,9 @@ def repeated_words(words: Column) -> Column:
     def windows(h: Column) -> Column:
         return F.transform(F.slice(h, 1, F.size(h) - 2), lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)))
 
-    return F.when(F.size(words) < 4, F.lit(0)).otherwise(let(let(F.transform(words, lambda w: F.xxhash64(w)), windows), covered))
+    # most texts repeat no window, which the number of distinct hashes shows without a sort
+    hashes = let(F.transform(words, lambda w: F.xxhash64(w)), windows)
+    return F.when(F.size(words) < 4, F.lit(0)).otherwise(let(hashes, lambda t: F.when(F.size(F.array_distinct(t)) == F.size(t), F.lit(0)).otherwise(covered(t))))
 
 
 def lines(text: Column) -> Column:
@@ -70,7 +72,7 @@ def without(text: Column, places: Column) -> Column:
 
 
 def normalised(line: Column) -> Column:
-    return F.regexp_replace(F.array_join(ascii_words(F.lower(line)), " "), "[0-9]", "0")
+    return F.regexp_replace(F.regexp_replace(F.btrim(F.lower(line), F.lit(SPACES)), SPACE + "+", " "), "[0-9]", "0")
 
 
 def base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -81,7 +83,7 @@ def base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str
     stats = with_words.select(
         "_id", "_body", "_host", "_text", "_row",
         F.size("_w").cast("long").alias("n_words"),
-        F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("_t", SPACE + "+", "")).cast("long").alias("word_chars"),
         (F.length("_t") - F.length(F.regexp_replace("_t", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         let(lines(F.col("_t")), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_w")).cast("long").alias("n_repeat_words"),
@@ -92,7 +94,9 @@ def base(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str
 def line_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """A row for each line with a word: its document, place among all lines, hash and number of words."""
     whole = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    found = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_body"), F.col(host).alias("_host"), F.posexplode(whole).alias("_at", "_line")).where(F.col("_line").rlike(SOLID))
+    # two steps: what stands beside a generator in one select is computed again for each of its rows
+    split = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_body"), F.col(host).alias("_host"), whole.alias("_lines"))
+    found = split.select("_id", "_body", "_host", F.posexplode("_lines").alias("_at", "_line")).where(F.col("_line").rlike(SOLID))
     n = normalised(F.col("_line"))
     return found.select("_id", "_body", "_host", "_at", F.xxhash64(n).alias("_hash"), F.size(F.split(n, " ")).alias("_n"))
 
@@ -107,7 +111,7 @@ def frequent_lines(each: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, least_left: int = LEAST_LEFT) -> DataFrame:
     """What base says of each row of docs, n_line_words_removed, kept_text and kept."""
-    each = line_words(docs, doc_id, text, host)
+    each = written(line_words(docs, doc_id, text, host), "quality-lines")  # texts are split once, and read by three
     frequent = frequent_lines(each, min_docs, share).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     frequent = frequent.select(*(F.col(c).alias(f"f{c}") for c in ("_host", "_hash", "_salt", "_first")))
     hit = each.join(frequent, (F.col("_hash") == F.col("f_hash")) & F.col("_host").eqNullSafe(F.col("f_host")) & (F.pmod("_body", F.lit(SALTS)) == F.col("f_salt")))
