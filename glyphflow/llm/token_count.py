@@ -18,7 +18,7 @@ from .pieces import Counts, load
 from .shared import remembers
 
 #: Texts of more characters are huge: cut into chunks of so many, each with so many of the next.
-CHUNK = 8192
+CHUNK = 16_384
 OVERLAP = 256
 #: So many tokens after a boundary must be alike in both chunks.
 AGREE = 4
