@@ -5,11 +5,12 @@ A text's suffixes are too many to sort all of them, so three steps narrow them d
 1. Every window of LENGTH bytes picks an anchor, its GRAM-byte string of least hash (the leftmost of ties): equal windows
    pick alike. The windows of one anchor are a run; by whether SIDE bytes before or after the anchor lie in them they are
    one or two places, keyed by the hash of anchor and side. Equal windows have equal keys.
-2. Places of one key come together. Those whose whole context is equal (by hash) repeat each other. If a key has several
-   contexts, one place of each is asked for its bytes.
+2. Places of one key come together. Of every context that two places have (equal by a 128-bit hash), and of every context
+   whose key has several, two places or its only one are asked for their bytes; further places of a context go as those.
+   Places whose bytes are equal repeat each other, and one of them stands for both in the sort.
 3. For each key, the suffixes at the windows of these places, apart by distance to the anchor, are sorted by mergesort:
    prefix polynomial hashes and binary search give the common extension of two suffixes in logarithmic time. Neighbours
-   that share LENGTH bytes are compared byte by byte, and repeat each other.
+   that share LENGTH bytes are compared byte by byte, and repeat each other. What the sort doesn't confirm stays.
 
 Equal texts are one text to steps 1 to 3 within a task, and are removed whole. Matches never cross documents, and all is
 judged on the input. Keys with many contexts are split by the hash of each window, so that no group is unbounded.
@@ -24,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from .hashing import mixed, powers, prefix_hashes, slices, span_hashes
-from .shared import written
+from .shared import discard, forget, written
 
 LENGTH, GRAM, SIDE = 200, 48, 76
 WINDOWS = LENGTH - GRAM + 1
@@ -35,7 +37,8 @@ BITS = 24
 PART = 1 << 23
 #: A key with more contexts than MANY is split into one part for each FEW of them.
 MANY, FEW = 2048, 128
-BLOCK = 1 << 22
+#: Bytes of contexts that are sorted at once; rows of contexts that go out together.
+BLOCK, ROWS = 1 << 20, 4096
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -51,8 +54,9 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """text (its number), key, context, first window, windows - 1 and distance of the first window to the anchor."""
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
+    """text (its number), key, context (128 bits, as two columns), first window, windows - 1 and distance of the first window
+    to the anchor."""
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
     if len(data) < LENGTH:
         return none
     p = prefix_hashes(data)
@@ -78,9 +82,10 @@ def places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         use = a <= b
         a, b, c, t = a[use], b[use], anchor[use], text[use]
         key = mixed(span_hashes(p, c - SIDE, c + GRAM) + np.uint64(1)) if before else mixed(span_hashes(p, c, c + GRAM + SIDE) + np.uint64(2))
+        raw = memoryview(data)
+        context = np.frombuffer(b"".join([xxh3_128_digest(raw[i:j]) for i, j in zip(a.tolist(), (b + LENGTH).tolist(), strict=True)]), dtype="<u8").reshape(-1, 2)
         extent = ((b - a) * 256 + (c - a)).astype(np.uint64)
-        context = mixed(span_hashes(p, a, b + LENGTH) + extent * np.uint64(0xD6E8FEB86659FD93))
-        out.append((t, key, context, a - offsets[t], b - a, c - a))
+        out.append((t, key, context[:, 0] + mixed(extent), context[:, 1], a - offsets[t], b - a, c - a))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -93,10 +98,12 @@ def row_id(doc_id: str, text: str) -> Column:
 
 
 def found_places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """key, context, rid and at (packed) of all places; of equal texts in one task, only the first has any."""
-    schema = pa.schema([("key", pa.int64()), ("context", pa.int64()), ("rid", pa.int64()), ("at", pa.int64())])
+    """key, context, mark (the context's other half), rid and at (packed) of all places; of equal texts in one task, only
+    the first has any."""
+    schema = pa.schema([(n, pa.int64()) for n in ("key", "context", "mark", "rid", "at")])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         seen: set[str] = set()
         for batch in batches:
             bodies = batch.column(2).to_pylist()
@@ -112,25 +119,26 @@ def found_places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 if len(data) > PART:  # a single text: parts that overlap by a window less one byte
                     parts = [(data[s : s + PART + LENGTH - 1], np.array([0, min(PART + LENGTH - 1, len(data) - s)]), s) for s in range(0, len(data), PART)]
                 for part, ends, shift in parts:
-                    t, key, context, first, more, distance = places(part, ends)
+                    t, *hashes, first, more, distance = places(part, ends)
                     if len(t):
-                        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(context.view(np.int64)), pa.array(rids[a:b][t]), pa.array(packed(first + shift, more, distance))], schema=schema)
+                        yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in hashes), pa.array(rids[a:b][t]), pa.array(packed(first + shift, more, distance))], schema=schema)
 
     rows = docs.where(F.octet_length(text) >= LENGTH).select(F.col(text), row_id(doc_id, text), F.md5(F.col(text).cast("binary")))
-    return rows.mapInArrow(find, "key long, context long, rid long, at long")
+    return rows.mapInArrow(find, "key long, context long, mark long, rid long, at long")
 
 
 def sorted_out(rows: DataFrame) -> DataFrame:
-    """Places by key and context, in one streaming pass: what = 0, repeated as a whole; 1, asked for its bytes, alone with its
-    context; 2, asked, but known to be repeated. What is held is one context."""
+    """Places by key and context, in one streaming pass: what = 1, asked for its bytes; 0, repeated if the context is, which
+    two asked places of its context show. Asked are the first two places of every context that has two or more, and of
+    every context whose key has several. What is held is one place."""
     schema = pa.schema([("what", pa.int32()), ("key", pa.int64()), ("rid", pa.int64()), ("at", pa.int64())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None  # key, context, rid, at, number of places
-        before: int | None = None  # the key of the context before the held one
+        held: tuple | None = None  # the first place of the last context, and how many the context has had
+        before: int | None = None  # the key of the context before that
 
-        def out(key, context, rid, at, size, more, known) -> pa.RecordBatch:
-            """more: places that aren't the first of their context; known: contexts that are complete."""
+        def firsts(key, rid, at, size, known) -> tuple:
+            """The asked ones of the first places of contexts; of these, known are complete."""
             nonlocal before
             near = np.zeros(len(key), dtype=bool)
             near[1:] = key[1:] == key[:-1]
@@ -138,33 +146,38 @@ def sorted_out(rows: DataFrame) -> DataFrame:
                 near[0] = key[0] == before
             several = near.copy()
             several[:-1] |= near[1:]
-            ask, whole = several[:known], size[:known] >= 2
+            ask = (several | (size >= 2))[:known]
             if known:
                 before = int(key[known - 1])
-            parts = [(np.zeros(int(whole.sum()), np.int32), key[:known][whole], rid[:known][whole], at[:known][whole]), (np.where(whole, 2, 1).astype(np.int32)[ask], key[:known][ask], rid[:known][ask], at[:known][ask]), (np.zeros(len(more[0]), np.int32), *more)]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], schema=schema)
+            return tuple(x[:known][ask] for x in (key, rid, at))
+
+        def batch_of(asked: tuple, more: tuple, rank: np.ndarray) -> pa.RecordBatch:
+            """more: places that aren't the first of their context, with their rank in it."""
+            what = np.concatenate([np.ones(len(asked[0]), np.int32), (rank == 1).astype(np.int32)])
+            return pa.RecordBatch.from_arrays([pa.array(what), *(pa.array(np.concatenate(x)) for x in zip(asked, more, strict=True))], schema=schema)
 
         for batch in batches:
-            key, context, rid, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            key, context, mark, rid, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             if not len(key):
                 continue
             new = np.ones(len(key), dtype=bool)
-            new[1:] = (key[1:] != key[:-1]) | (context[1:] != context[:-1])
+            new[1:] = (key[1:] != key[:-1]) | (context[1:] != context[:-1]) | (mark[1:] != mark[:-1])
             if held is not None:
-                new[0] = (key[0], context[0]) != held[:2]
+                new[0] = (key[0], context[0], mark[0]) != held[:3]
             begin = np.flatnonzero(new)
             size = np.diff(np.append(begin, len(key)))
-            cols = [x[begin] for x in (key, context, rid, at)]
+            lead = int(begin[0]) if len(begin) else len(key)
+            rank = np.arange(len(key)) - np.concatenate([np.full(lead, -(held[5] if held else 0)), np.repeat(begin, size)])
+            cols = [x[begin] for x in (key, context, mark, rid, at)]
             if held is not None:
-                lead = int(begin[0]) if len(begin) else len(key)
-                cols = [np.concatenate([[h], x]).astype(np.int64) for h, x in zip(held[:4], cols, strict=True)]
-                size = np.concatenate([[held[4] + lead], size])
+                cols = [np.concatenate([[h], x]).astype(np.int64) for h, x in zip(held[:5], cols, strict=True)]
+                size = np.concatenate([[held[5] + lead], size])
             known = len(size) - 1
-            yield out(*cols, size, (key[~new], rid[~new], at[~new]), known)
+            yield batch_of(firsts(cols[0], cols[3], cols[4], size, known), (key[~new], rid[~new], at[~new]), rank[~new])
             held = (*(int(x[-1]) for x in cols), int(size[-1]))
         if held is not None:
             none = np.zeros(0, np.int64)
-            yield out(*(np.array([x], np.int64) for x in held[:4]), np.array([held[4]]), (none, none, none), 1)
+            yield batch_of(firsts(*(np.array([held[i]], np.int64) for i in (0, 3, 4)), np.array([held[5]]), 1), (none, none, none), none)
 
     return rows.mapInArrow(judge, "what int, key long, rid long, at long")
 
@@ -246,18 +259,21 @@ def repeated(data: np.ndarray, starts: np.ndarray, segment: np.ndarray, most: in
 
 
 def contexts(asked: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """key, salt, rid, at, alone, data (a place's bytes) and windows (which of its windows, as bytes) of the asked places."""
+    """key, salt, rid, at, data (a place's bytes) and windows (which of its windows, as bytes) of the asked places."""
     many = asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY).select(F.col("key").alias("k"), F.ceil(F.col("n") / FEW).alias("parts"))
-    each = asked.join(many, F.col("key") == F.col("k"), "left").select("rid", F.struct("key", "at", (F.col("what") == 1).alias("alone"), F.coalesce("parts", F.lit(1)).cast("long").alias("parts")).alias("place"))
+    each = asked.join(many, F.col("key") == F.col("k"), "left").select("rid", F.struct("key", "at", F.coalesce("parts", F.lit(1)).cast("long").alias("parts")).alias("place"))
     lists = each.groupBy("rid").agg(F.collect_list("place").alias("places")).withColumnRenamed("rid", "r")
     texts = docs.where(F.octet_length(text) >= LENGTH).select(row_id(doc_id, text).alias("rid"), F.col(text).alias("body"))
     joined = texts.join(lists, F.col("rid") == F.col("r")).select("rid", "body", "places")
-    schema = pa.schema([("key", pa.int64()), ("salt", pa.int64()), ("rid", pa.int64()), ("at", pa.int64()), ("alone", pa.bool_()), ("data", pa.binary()), ("windows", pa.binary())])
+    schema = pa.schema([("key", pa.int64()), ("salt", pa.int64()), ("rid", pa.int64()), ("at", pa.int64()), ("data", pa.binary()), ("windows", pa.binary())])
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in batches:
-            rows, held = [], 0
+            rows: list[tuple] = []
             for rid, body, asked_ in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 if rid in done:
                     continue
@@ -266,38 +282,40 @@ def contexts(asked: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataF
                 for x in asked_:
                     first, more = x["at"] >> 16, (x["at"] >> 8) & 255
                     data = body[first : first + more + LENGTH]
-                    every = np.arange(more + 1)
+                    every, own = np.arange(more + 1), data.tobytes()
                     if x["parts"] == 1:
-                        rows.append((x["key"], 0, rid, x["at"], x["alone"], data.tobytes(), every.astype(np.uint8).tobytes()))
+                        rows.append((x["key"], 0, rid, x["at"], own, every.astype(np.uint8).tobytes()))
                     else:
                         salts = mixed(span_hashes(prefix_hashes(data), every, every + LENGTH)) % np.uint64(x["parts"])
-                        for s in np.unique(salts).tolist():
-                            rows.append((x["key"], s, rid, x["at"], x["alone"], data.tobytes(), every[salts == s].astype(np.uint8).tobytes()))
-                    held += len(data)
-                if held > BLOCK:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                    rows, held = [], 0
+                        rows += [(x["key"], s, rid, x["at"], own, every[salts == s].astype(np.uint8).tobytes()) for s in np.unique(salts).tolist()]
+                    if len(rows) >= ROWS:
+                        yield made(rows)
+                        rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                yield made(rows)
 
-    return joined.mapInArrow(cut, "key long, salt long, rid long, at long, alone boolean, data binary, windows binary")
+    return joined.mapInArrow(cut, "key long, salt long, rid long, at long, data binary, windows binary")
 
 
 def compared(rows: DataFrame) -> DataFrame:
     """rid, a, b: bytes a to b of the text are in repeated windows. rows: contexts(), a (key, salt) together."""
     schema = pa.schema([("rid", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
-    def block(held: list[tuple]) -> pa.RecordBatch:
-        """held: group, rid, at, alone, data, windows"""
-        data = np.frombuffer(b"".join(x[4] for x in held), dtype=np.uint8)
-        offset = np.concatenate([[0], np.cumsum([len(x[4]) for x in held])])
-        marks = [np.frombuffer(x[5], dtype=np.uint8).astype(np.int64) for x in held]
+    def block(held: list[list]) -> pa.RecordBatch:
+        """held: group (0 for those that another one stands for), rid, at, data, windows, known (whether another place has
+        the same bytes)"""
+        marks = [np.frombuffer(x[4], dtype=np.uint8).astype(np.int64) for x in held]
         row = np.repeat(np.arange(len(held)), [len(m) for m in marks])
         window = np.concatenate(marks)
-        group = np.array([x[0] for x in held], np.int64)[row]
-        distance = np.array([x[2] & 255 for x in held], np.int64)[row] - window
-        hit = repeated(data, offset[row] + window, group * 256 + distance)
-        hit &= np.array([x[3] for x in held])[row]
+        group = np.array([x[0] for x in held], np.int64)
+        hit = np.array([x[5] for x in held])[row]
+        several = ((group > 0) & (np.bincount(group)[group] > 1))[row]  # one place has nothing to be compared with
+        if several.any():
+            data = np.frombuffer(b"".join(x[3] for x in held), dtype=np.uint8)
+            offset = np.concatenate([[0], np.cumsum([len(x[3]) for x in held])])
+            r, w = row[several], window[several]
+            distance = np.array([x[2] & 255 for x in held], np.int64)[r] - w
+            hit[several] |= repeated(data, offset[r] + w, group[r] * 256 + distance)
         row, window = row[hit], window[hit]
         first = np.array([x[2] >> 16 for x in held], np.int64)[row] + window
         new = np.ones(len(row), dtype=bool)
@@ -308,17 +326,23 @@ def compared(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(rid[begin]), pa.array(first[begin]), pa.array(first[last] + LENGTH)], schema=schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[list] = []
+        alike: dict[tuple, list] = {}  # by bytes, the first place of the group that has them
         key, group, size = None, 0, 0
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(7)]
-            for k, salt, rid, at, alone, data, windows in zip(*cols, strict=True):
+            cols = [batch.column(i).to_pylist() for i in range(6)]
+            for k, salt, rid, at, data, windows in zip(*cols, strict=True):
                 if (k, salt) != key:
                     if size > BLOCK:
                         yield block(held)
                         held, group, size = [], 0, 0
-                    key, group = (k, salt), group + 1
-                held.append((group, rid, at, alone, data, windows))
+                    key, group, alike = (k, salt), group + 1, {}
+                entry = [group, rid, at, data, windows, False]
+                same = alike.setdefault((data, at & 255, windows), entry)
+                if same is not entry:  # the same bytes: both are repeated, and one is enough for the sort
+                    same[5] = entry[5] = True
+                    entry[0] = 0
+                held.append(entry)
                 size += len(data)
         if held:
             yield block(held)
@@ -332,12 +356,13 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", kep
     Null is an empty text. Texts under LENGTH bytes lose nothing. Equal texts of LENGTH or more lose all, the first one too;
     repeated rows are equal texts. No rows give no rows.
     """
-    found = found_places(docs, doc_id, text).repartition("key").sortWithinPartitions("key", "context")
+    found = found_places(docs, doc_id, text).repartition("key").sortWithinPartitions("key", "context", "mark")
     judged = written(sorted_out(found), "repeat-places", compression="zstd")
     whole = judged.where("what = 0").select("rid", (F.shiftright("at", 16)).alias("a"), (F.shiftright("at", 16) + F.shiftright("at", 8).bitwiseAND(255) + LENGTH).alias("b"))
-    rows = contexts(judged.where("what > 0"), docs, doc_id, text).repartition("key", "salt").sortWithinPartitions("key", "salt")
+    rows = contexts(judged.where("what = 1"), docs, doc_id, text).repartition("key", "salt").sortWithinPartitions("key", "salt")
     spans = whole.unionByName(compared(rows)).groupBy("rid").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
     spans = written(spans, "repeat-spans", compression="zstd").withColumnRenamed("rid", "r")
+    discard(judged)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     base = docs.select(F.col(doc_id).alias("id"), body.alias("body"), row_id(doc_id, text).alias("rid"), F.md5(body).alias("sum"))
     copies = base.where(F.octet_length("body") >= LENGTH).groupBy("sum").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("sum").alias("copy"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("s"))
