@@ -198,7 +198,10 @@ def _json(field: str | None = None, new: str | None = None) -> str:
 def flawed(spark: SparkSession, d: str) -> DataFrame:
     """A record for each customer, by its key with one of the flaws."""
     lines = F.array(*(F.lit(_json(field, new)) for field, new, *_ in FLAWS))
-    return table(spark, d, "customer").select("c_custkey", F.replace(lines[(F.col("c_custkey") % len(FLAWS)).cast("int")], F.lit("#"), F.col("c_custkey").cast("string")).alias("raw"))
+    # a file of keys is one task, whatever its records take
+    keys = table(spark, d, "customer").select("c_custkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
+    raw = F.replace(lines[(F.col("c_custkey") % len(FLAWS)).cast("int")], F.lit("#"), F.col("c_custkey").cast("string"))
+    return keys.select("c_custkey", raw.alias("raw"))
 
 
 def schema(level: str, at: int) -> tuple[Callable, str]:

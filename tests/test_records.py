@@ -77,6 +77,23 @@ def test_what_is_no_record(spark):
     assert json.loads(raw) == {"description": "x", "concepts": ["a"]}
 
 
+def spread(df):
+    """Whether the rows of a plan reach the Arrow function over an exchange, and the parser is named once at most."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return 0 <= plan.find("ArrowEvalPython") < plan.find("Exchange") and plan.count("parseJson") <= 1
+
+
+def odd(field, new):
+    return Q._json(field, new).replace("#", "1")
+
+
+def test_hardened_records_are_parsed_once_and_whole(spark):
+    assert spread(Q.QUERIES["schema_hardened"](spark, "/root/testdata/sf0.001"))
+    lines = [odd("public_tests", '["{\\"input\\":\\"a\\",\\"output\\":\\"b\\"}"]'), odd("dead_components", '["0"]'), odd("effective_components", '["0"]'), odd("dead_components", "[99999999999999999999]"), odd("dead_components", "[true]"), odd("id", '"1"') + "x", odd("\\ud800", "1"), odd("limits", '{"a":1,"a":2}'), odd("limits", "null"), odd("id", '"é"')]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, raw string").select("i", records.record_errors(F.col("raw"), "hardened").alias("e"))
+    assert [r["e"] for r in df.orderBy("i").collect()] == [["public_tests"], ["dead_components"], ["effective_components"], [], ["dead_components"], ["object"], ["unknown:?"], ["object"], ["limits"], []]
+
+
 def test_strict_runs_and_traces(spark):
     df = spark.createDataFrame([("ab",), ("é",), ("a\nb",), (None,), ("a" * 1001,)], "v string")
     run_ = lambda v, program=P.DELETE: [r[0] for r in df.where(F.col("v").eqNullSafe(v)).select(strict(rewrite(program, F.col("v")), F.col("v"))).collect()]
