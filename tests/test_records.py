@@ -94,6 +94,14 @@ def test_hardened_records_are_parsed_once_and_whole(spark):
     assert [r["e"] for r in df.orderBy("i").collect()] == [["public_tests"], ["dead_components"], ["effective_components"], [], ["dead_components"], ["object"], ["unknown:?"], ["object"], ["limits"], []]
 
 
+def test_flattened_records_are_checked_in_many_tasks(spark):
+    assert spread(Q.QUERIES["record_flatten"](spark, "/root/testdata/sf0.001"))
+    lines = [(odd("id", '"é"'),), (odd("concepts", '["a","b"]'),), (odd("hidden_tests", '[{"output":"b","input":"a"}]'),)]
+    got = sorted(records.flattened(spark.createDataFrame(lines, "raw string")).collect(), key=lambda r: (r["id"], r["concepts"]))
+    assert [(r["id"], r["concepts"], [tuple(t) for t in r["hidden_tests"]], [tuple(t) for t in r["public_tests"]]) for r in got] == [("1", ["a", "b"], [], [("ab", "ba")]), ("1", ["reverse"], [("a", "b")], [("ab", "ba")]), ("é", ["reverse"], [], [("ab", "ba")])]
+    assert {(r["depth"], r["score"], r["program"], r["audit_length"], r["level"]) for r in got} == {(2, 0.25, "ab=ba", 6, "functional")}
+
+
 def test_strict_runs_and_traces(spark):
     df = spark.createDataFrame([("ab",), ("é",), ("a\nb",), (None,), ("a" * 1001,)], "v string")
     run_ = lambda v, program=P.DELETE: [r[0] for r in df.where(F.col("v").eqNullSafe(v)).select(strict(rewrite(program, F.col("v")), F.col("v"))).collect()]
