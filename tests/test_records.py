@@ -102,6 +102,13 @@ def test_flattened_records_are_checked_in_many_tasks(spark):
     assert {(r["depth"], r["score"], r["program"], r["audit_length"], r["level"]) for r in got} == {(2, 0.25, "ab=ba", 6, "functional")}
 
 
+def test_cognitive_records_are_parsed_once(spark):
+    assert spread(Q.QUERIES["schema_cognitive"](spark, "/root/testdata/sf0.001"))
+    lines = [odd("memory_model", "null"), odd("parameter_instance", "[]"), odd("composition_component_probe", '{"all_components_effective":"no"}'), odd("composition_component_probe", "[]"), odd("cognitive_family", '"x"') + "{}"]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, raw string").select("i", records.record_errors(F.col("raw"), "cognitive").alias("e"))
+    assert [r["e"] for r in df.orderBy("i").collect()] == [["memory_model"], ["parameter_instance"], ["composition_component_probe"], ["composition_component_probe"], ["object"]]
+
+
 def test_strict_runs_and_traces(spark):
     df = spark.createDataFrame([("ab",), ("é",), ("a\nb",), (None,), ("a" * 1001,)], "v string")
     run_ = lambda v, program=P.DELETE: [r[0] for r in df.where(F.col("v").eqNullSafe(v)).select(strict(rewrite(program, F.col("v")), F.col("v"))).collect()]
