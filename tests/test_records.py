@@ -1,6 +1,7 @@
 """Artifacts, schemas, labels, the solving loop and auxiliary records against plain Python."""
 
 import json
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,6 +110,27 @@ def test_cognitive_records_are_parsed_once(spark):
     assert [r["e"] for r in df.orderBy("i").collect()] == [["memory_model"], ["parameter_instance"], ["composition_component_probe"], ["composition_component_probe"], ["object"]]
 
 
+def test_cognitive_records_are_checked_in_few_calls(spark):
+    line, calls = odd("id", '"1"'), []
+    sys.setprofile(lambda frame, event, arg: calls.append(frame) if event == "call" else None)
+    try:
+        good = records.line_errors(line, "cognitive")
+    finally:
+        sys.setprofile(None)
+    assert good == [] and len(calls) <= 50
+    flaws = {"description": 1, "concepts": [[]], "semantic_fingerprint": "a" * 64 + "\n", "composition_depth": True, "public_tests": [{"input": "a", "output": "b", "x": ""}], "limits": [], "standard_answer": None, "dead_components": [True], "effective_composition_depth": 1.0, "order_sensitive": None, "solution_revealing_score": True, "audit_domain": {"min_length": False, "max_length": 1}, "memory_model": None, "parameter_instance": None, "composition_component_probe": {}}
+    found = records.line_errors(json.dumps(json.loads(line) | flaws), "cognitive")
+    assert set(found) == {*flaws, "declared_composition_depth"} and found[:4] == ["description", "concepts", "semantic_fingerprint", "composition_depth"] and found[-3:] == ["memory_model", "parameter_instance", "composition_component_probe"]
+
+
+def test_records_of_keys_are_joined_from_pieces(spark):
+    df = Q.flawed(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "array_join(" in plan and "replace(" not in plan
+    rows = df.collect()
+    assert len(rows) == 150 and all(r["raw"] == Q._json(*Q.FLAWS[r["c_custkey"] % len(Q.FLAWS)][:2]).replace("#", str(r["c_custkey"])) for r in rows)
+
+
 def test_strict_runs_and_traces(spark):
     df = spark.createDataFrame([("ab",), ("é",), ("a\nb",), (None,), ("a" * 1001,)], "v string")
     run_ = lambda v, program=P.DELETE: [r[0] for r in df.where(F.col("v").eqNullSafe(v)).select(strict(rewrite(program, F.col("v")), F.col("v"))).collect()]
