@@ -54,11 +54,19 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return out
 
 
+def found(spark: SparkSession, path: str, names: list[str], schema: str) -> DataFrame:
+    """The rows of files below path that tasks wrote by themselves. names: what the tasks that count returned; files of
+    those that failed are in the folder too."""
+    out = spark.read.schema(schema).parquet(*names) if names else spark.createDataFrame([], schema)
+    _folders[id(out)] = weakref.ref(out), path
+    return out
+
+
 _folders: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def discard(*frames: DataFrame) -> None:
-    """Deletes the files of written() frames that nothing will read any more: what was made of them is written itself."""
+    """Deletes the files of written() and found() frames that nothing will read any more: what was made of them is written itself."""
     for df in frames:
         kept, path = _folders.pop(id(df), (None, ""))
         if kept is not None and kept() is df:

@@ -6,11 +6,14 @@ its low bits at zero, so that equal passages give equal chunks. A chunk's addres
 Files (in the store's folder, all integers little-endian):
 - pack-<first place>-<uuid>.bin: unique chunks, ids as unsigned 16 or 32 bits, one after the other in zstd frames of about
   FRAME bytes; documents go to packs in ascending doc_id order, a chunk is stored with the first document that has it.
-- index (Parquet): digest, pack, frame's offset and length in the pack, the chunk's offset in the unpacked frame, its bytes.
-- recipes (Parquet): pack, place in the pack, doc_id, body_hash, start, n_tokens, chunk digests, Merkle root.
-- manifest (Parquet): pack, its number of documents and tokens, its first start, Merkle root of its documents' roots.
-
-Texts are tokenized once; the ids cross the network once, in the sort by doc_id. Reading goes through each pack in order;
+- index-<uuid>.parquet, of each pack: digest, pack, frame's offset and length in the pack, the chunk's offset in the unpacked
+  frame, its bytes.
+- recipes-<uuid>.parquet, of each pack: pack, place in the pack, ids of the pack before it, doc_id, body_hash, n_tokens,
+  chunk digests and sizes, Merkle root.
+- manifest (Parquet): pack, its number of documents and tokens, its first start.
+
+Texts are tokenized once; the ids cross the network once, in the sort by doc_id. Tasks write their files by themselves and
+return a row for each; the driver gets those rows. What tokenizers remember is dropped before packs are written and read. Reading goes through each pack in order;
 a chunk that another pack holds is fetched by offset. Every chunk, document and pack is verified on the way.
 """
 
@@ -30,10 +33,10 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .files import reader, writer
+from .files import Rows, reader, writer
 from .hashing import slices
 from .pieces import Ids, load
-from .shared import discard, new_folder, remembers, written
+from .shared import discard, forget, found, new_folder, remembers, small_batches, written
 
 #: The id that ends a document.
 END = 0
@@ -103,8 +106,15 @@ def encoder(path: str) -> Ids:
 remembers(encoder.cache_clear)
 
 
+def make_room() -> None:
+    """Before packs are written or read: what tokenizers remember and what Arrow's pool holds on to goes."""
+    forget()
+    pa.default_memory_pool().release_unused()
+
+
 def encoded(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFrame:
-    """doc_id, body_hash, n_tokens, digests, sizes (ids in each chunk) and ids (bytes) of every document."""
+    """doc_id (a string), body_hash, n_tokens, digests, sizes (ids in each chunk) and ids (bytes) of every document, from
+    files that discard() deletes."""
     width = "<u2" if load(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
     fields = [pa.field("doc_id", pa.string()), pa.field("body_hash", pa.int64()), pa.field("n_tokens", pa.int64()), pa.field("digests", pa.list_(pa.binary())), pa.field("sizes", pa.list_(pa.int32())), pa.field("ids", pa.binary())]
 
@@ -122,17 +132,46 @@ def encoded(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFram
                     named = [batch.column(i).slice(start + a, b - a) for i in range(2)]
                     yield pa.RecordBatch.from_arrays([*named, *(pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), fields[2:], strict=True))], schema=pa.schema(fields))
 
-    kind = docs.schema[doc_id].dataType
-    out = docs.select(F.col(doc_id).cast("string"), F.xxhash64(F.col(text)), F.col(text)).mapInArrow(encode, "doc_id string, body_hash long, n_tokens long, digests array<binary>, sizes array<int>, ids binary")
-    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    folder = new_folder(docs.sparkSession, "token-ids")
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = None
+        for batch in encode(batches):
+            rows = rows or Rows(f"{folder}/{uuid.uuid4().hex}.parquet", pa.schema(fields))
+            rows.add(batch)
+        if rows is not None:
+            rows.close()
+            yield pa.RecordBatch.from_pydict({"name": [rows.name]})
+
+    with small_batches(docs.sparkSession):
+        names = docs.select(F.col(doc_id).cast("string"), F.xxhash64(F.col(text)), F.col(text)).mapInArrow(save, "name string").collect()
+    return found(docs.sparkSession, folder, [r["name"] for r in names], "doc_id string, body_hash long, n_tokens long, digests array<binary>, sizes array<int>, ids binary")
+
+
+INDEX = pa.schema([("digest", pa.binary()), ("pack", pa.string()), ("frame", pa.int64()), ("frame_bytes", pa.int64()), ("at", pa.int64()), ("n_bytes", pa.int64())])
+RECIPE = pa.schema([("pack", pa.string()), ("place", pa.int64()), ("before", pa.int64()), ("doc_id", pa.string()), ("body_hash", pa.int64()), ("n_tokens", pa.int64()), ("digests", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())), ("root", pa.binary())])
+#: What is known of a pack when it is closed. first_id and first_hash: of its first document; nth: which of its task's packs.
+PACK = pa.schema([("pack", pa.string()), ("recipes", pa.string()), ("index", pa.string()), ("first_id", pa.string()), ("first_hash", pa.int64()), ("nth", pa.int64()), ("n_docs", pa.int64()), ("pack_tokens", pa.int64())])
+SQL_INDEX = "digest binary, pack string, frame long, frame_bytes long, at long, n_bytes long"
+SQL_RECIPE = "pack string, place long, before long, doc_id string, body_hash long, n_tokens long, digests array<binary>, sizes array<int>, root binary"
+SQL_PACK = "pack string, recipes string, index string, first_id string, first_hash long, nth long, n_docs long, pack_tokens long"
+
+
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 class Pack:
-    """A pack file that is being written."""
+    """A pack file that is being written, with its recipes and its index."""
 
-    def __init__(self, folder: str):
-        self.name = f"{folder}/pack-{uuid.uuid4().hex}.bin"
+    def __init__(self, folder: str, nth: int):
+        name = uuid.uuid4().hex
+        self.name, self.nth = f"{folder}/pack-{name}.bin", nth
+        self.recipes, self.places = (Rows(f"{folder}/{kind}-{name}.parquet", schema) for kind, schema in (("recipes", RECIPE), ("index", INDEX)))
         self.out, self.offset, self.held, self.size = writer(self.name), 0, [], 0
+        self.first: tuple = ()
+        self.rows: list[tuple] = []
+        self.n_docs = self.n_tokens = self.n_chunks = 0
         self.index: list[tuple] = []
         self.waiting: list[tuple] = []
         self.seen: set[bytes] = set()
@@ -147,6 +186,16 @@ class Pack:
         if self.size >= FRAME:
             self.flush()
 
+    def document(self, key: str | None, body: int, n: int, digests: list[bytes], sizes: list[int]) -> None:
+        """A recipe; the chunks that no other document stores are added beside it."""
+        if not self.n_docs:
+            self.first = key, body
+        self.rows.append((self.name, self.n_docs, self.n_tokens, key, body, n, digests, sizes, merkle(digests)))
+        self.n_docs, self.n_tokens, self.n_chunks = self.n_docs + 1, self.n_tokens + n, self.n_chunks + len(digests)
+        if len(self.rows) >= 5000:
+            self.recipes.add(batch_of(self.rows, RECIPE))
+            self.rows = []
+
     def flush(self) -> None:
         frame = zstandard.ZstdCompressor(level=3).compress(b"".join(self.held))
         self.out.write(frame)
@@ -154,10 +203,16 @@ class Pack:
         self.offset += len(frame)
         self.held, self.waiting, self.size = [], [], 0
 
-    def close(self) -> None:
+    def close(self) -> tuple:
+        """The pack's row."""
         if self.held:
             self.flush()
         self.out.close()
+        for out, rows, schema in ((self.recipes, self.rows, RECIPE), (self.places, self.index, INDEX)):
+            for a in range(0, len(rows), 5000):
+                out.add(batch_of(rows[a : a + 5000], schema))
+            out.close()
+        return self.name, self.recipes.name, self.places.name, *self.first, self.nth, self.n_docs, self.n_tokens
 
 
 class Frames:
@@ -184,9 +239,6 @@ class Frames:
             f.close()
 
 
-INDEX = "digest binary, pack string, frame long, frame_bytes long, at long, n_bytes long"
-
-
 def write_store(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> dict[str, DataFrame]:
     """Writes the store; returns its recipes, index and manifest. Null texts are empty: the end id alone. Null ids come
     first; rows of one id are ordered by their text's hash, and equal rows share all their chunks. No rows make no packs.
@@ -194,7 +246,8 @@ def write_store(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
     spark = docs.sparkSession
     folder = new_folder(spark, "token-store")
     kind = docs.schema[doc_id].dataType
-    all_ids = written(encoded(docs, tokenizer, doc_id, text), "token-ids", compression="zstd")
+    ids_files = encoded(docs, tokenizer, doc_id, text)
+    all_ids = ids_files.withColumn("doc_id", F.col("doc_id").cast(kind))
     width = 2 if load(tokenizer).get_vocab_size() <= 1 << 16 else 4
     # Who stores a chunk: the first document by (doc_id, body_hash). Only chunks of two documents or more need an answer.
     each = all_ids.select("doc_id", "body_hash", F.explode(F.array_distinct("digests")).alias("digest"))
@@ -207,21 +260,10 @@ def write_store(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = both.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "body_hash", "kind")
     ordered = ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "body_hash", "kind", "n_tokens", "digests", "sizes", "ids")
-    entry = pa.struct([("digest", pa.binary()), ("frame", pa.int64()), ("frame_bytes", pa.int64()), ("at", pa.int64()), ("n_bytes", pa.int64())])
-    schema = pa.schema([("pack", pa.string()), ("place", pa.int64()), ("doc_id", pa.string()), ("body_hash", pa.int64()), ("n_tokens", pa.int64()), ("digests", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())), ("root", pa.binary()), ("index", pa.list_(entry))])
 
     def pack_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, place, chunks, foreign, of = None, 0, 0, frozenset(), None
-        rows: list[tuple] = []
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-        def closed(pack: Pack) -> Iterator[tuple]:
-            pack.close()
-            for a in range(0, len(pack.index), 5000):
-                yield (pack.name, *[None] * 7, [{"digest": d, "frame": f, "frame_bytes": n, "at": at, "n_bytes": size} for d, _, f, n, at, size in pack.index[a : a + 5000]])
-
+        make_room()
+        pack, foreign, of, nth = None, frozenset(), None, 0
         for batch in batches:
             for key, body, kind_, n, digests, sizes, ids in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 if kind_ == 0:
@@ -229,37 +271,32 @@ def write_store(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: s
                     continue
                 if of != (key, body):
                     foreign, of = frozenset(), (key, body)
-                if pack is not None and (pack.offset >= PACK_BYTES or chunks >= PACK_CHUNKS):
-                    rows += closed(pack)
+                if pack is not None and (pack.offset >= PACK_BYTES or pack.n_chunks >= PACK_CHUNKS):
+                    yield batch_of([pack.close()], PACK)
                     pack = None
                 if pack is None:
-                    pack, place, chunks = Pack(folder), 0, 0
+                    pack, nth = Pack(folder, nth), nth + 1
                 at = 0
                 for d, size in zip(digests, sizes, strict=True):
                     if d not in foreign:
                         pack.add(d, ids[at : at + size * width])
                     at += size * width
-                rows.append((pack.name, place, key, body, n, digests, sizes, merkle(digests), None))
-                place, chunks = place + 1, chunks + len(digests)
-            if len(rows) > 5000:
-                yield batch_of(rows)
-                rows = []
+                pack.document(key, body, n, digests, sizes)
         if pack is not None:
-            rows += closed(pack)
-        if rows:
-            yield batch_of(rows)
-
-    made = ordered.mapInArrow(pack_up, "pack string, place long, doc_id string, body_hash long, n_tokens long, digests array<binary>, sizes array<int>, root binary, index array<struct<digest:binary,frame:long,frame_bytes:long,at:long,n_bytes:long>>")
-    made = written(made, "token-recipes")
-    discard(all_ids)
-    index = made.where("place is null").select("pack", F.explode("index").alias("x")).select("pack", "x.*")
-    recipes = made.where("place is not null").drop("index").withColumn("doc_id", F.col("doc_id").cast(kind))
-    # Starts: sums over packs, in the order of their first document, then within each pack. One row for each pack is ordered.
-    packs = recipes.groupBy("pack").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.min(F.struct("doc_id", "body_hash")).alias("first"))
-    packs = packs.withColumn("pack_start", F.sum("n_tokens").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens"))
-    manifest = written(packs.select("pack", "n_docs", F.col("n_tokens").alias("pack_tokens"), "pack_start"), "token-manifest")
-    run = Window.partitionBy("pack").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    recipes = recipes.join(manifest.select("pack", "pack_start"), "pack").withColumn("start", F.col("pack_start") + F.sum("n_tokens").over(run) - F.col("n_tokens")).drop("pack_start")
+            yield batch_of([pack.close()], PACK)
+
+    with small_batches(spark):
+        made = ordered.mapInArrow(pack_up, SQL_PACK).toArrow()
+    discard(ids_files)
+    recipes = found(spark, folder, made["recipes"].to_pylist(), SQL_RECIPE).withColumn("doc_id", F.col("doc_id").cast(kind))
+    index = found(spark, folder, made["index"].to_pylist(), SQL_INDEX)
+    # Starts: sums over packs, in the order of their first document, then those in each pack. One row for each pack is
+    # ordered; packs that begin with equal rows are of one task.
+    packs = spark.createDataFrame(made).withColumn("first_id", F.col("first_id").cast(kind))
+    before = Window.orderBy("first_id", "first_hash", "nth").rowsBetween(Window.unboundedPreceding, 0)
+    packs = packs.withColumn("pack_start", F.sum("pack_tokens").over(before) - F.col("pack_tokens"))
+    manifest = written(packs.select("pack", "n_docs", "pack_tokens", "pack_start"), "token-manifest")
+    recipes = recipes.join(manifest.select("pack", "pack_start"), "pack").withColumn("start", F.col("pack_start") + F.col("before")).drop("pack_start", "before")
     return {"recipes": recipes, "index": index, "manifest": manifest}
 
 
@@ -281,6 +318,7 @@ def read_store(store: dict[str, DataFrame], width: int) -> DataFrame:
     kind_of = "<u2" if width == 2 else "<u4"
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         frames, spots, pack = Frames(), {}, None
         for batch in batches:
             cols = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}

@@ -2,12 +2,14 @@
 
 import hashlib
 import math
+import os
 import random
 import time
 import zlib
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from glyphflow.llm import html_text
 from glyphflow.llm.hashing import slices
@@ -124,6 +126,46 @@ def test_packs_roll(spark, monkeypatch):
     assert store["manifest"].count() > 10 and sorted(tuple(r) for r in read_store(store, 2).collect()) == plain
 
 
+def test_packs_begin_with_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr("glyphflow.llm.token_store.PACK_CHUNKS", 5)
+    df = spark.createDataFrame([(i, "x y") for i in (3, 5, 7) for _ in range(23)] + [(None, "z")] * 12, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r)[:3] for r in store_round_trip(df, tokenizer("byte_bpe_50k.json")).select("start", "n_tokens", "doc_id").collect())
+    assert [i for *_, i in got] == [None] * 12 + [i for i in (3, 5, 7) for _ in range(23)]
+    assert all(a + n == b for (a, n, _), (b, *_) in zip(got, got[1:], strict=False))
+
+
+def test_packs_are_written_without_what_the_tokenizer_remembers(spark):
+    def remembered(batches):
+        from glyphflow.llm.token_store import encoder
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [encoder.cache_info().currsize]})
+
+    sc, parts = spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.range(50).select("id", F.concat(F.lit("a text "), "id").alias("text")).coalesce(1)
+    sc.environment["GLYPHFLOW_TEST"] = "a worker of its own"  # one task at a time: all run in the same worker
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        write_store(df, tokenizer("byte_bpe_50k.json"), "id")
+        assert spark.range(1).coalesce(1).mapInArrow(remembered, "n long").first()["n"] == 0
+    finally:
+        del sc.environment["GLYPHFLOW_TEST"]
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def test_store_is_read_by_the_names_that_tasks_returned(spark):
+    df = spark.createDataFrame([(i, f"text {i % 7}") for i in range(40)], "doc_id long, text string").repartition(3)
+    store = write_store(df, tokenizer("byte_bpe_50k.json"))
+    folder = os.path.dirname(store["manifest"].first()["pack"].removeprefix("file:"))
+    packs = {r["pack"].rpartition("/")[2] for r in store["manifest"].collect()}
+    names = {p.removeprefix("pack-").removesuffix(".bin") for p in packs}
+    assert set(os.listdir(folder)) == packs | {f"{kind}-{n}.parquet" for kind in ("recipes", "index") for n in names}
+    for kind in ("recipes", "index"):  # a task that failed has left a part of a file
+        with open(f"{folder}/{kind}-0.parquet", "wb") as f:
+            f.write(b"PAR1")
+    assert read_store(store, 2).count() == 40
+
+
 def test_page_ids_of_any_kind(spark):
     df = spark.createDataFrame([("a\r\nb: c", "u", "x" * 200), ("é %41", None, "x" * 200), (None, "u", "y")], "page_id string, url string, html string")
     got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in round_trip(spark, df).collect()}
